@@ -86,7 +86,7 @@ ICD9_CHAPTERS = [
 ]
 
 # decimal literal the way a float parser accepts it (after stripping blanks)
-_NUMERIC_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMERIC_RE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _NONFINITE_RE = r"(?i)^[+-]?(nan|inf|infinity)$"
 
 
@@ -95,15 +95,24 @@ def strip_ws(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
-def icd9_chapter(code: Column) -> Column:
+def code_parts(code: Column) -> tuple[Column, Column]:
+    """(stripped text, numeric value or NULL) of a diagnosis code."""
+    s = strip_ws(code)
+    return s, F.when(s.rlike(NUMERIC_RE), s).try_cast("double")
+
+
+def icd9_chapter(code: Column, stripped: Column | None = None,
+                 num: Column | None = None) -> Column:
     """ICD-9 chapter of a diagnosis code string.
 
     NULL or '?' -> Unknown; V*/E* -> V_codes/E_codes; numeric codes by chapter
     range; numeric outside [1, 1000) (and nan/inf) -> Other; anything else
-    that does not parse as a number -> Unknown.
+    that does not parse as a number -> Unknown. Pass the precomputed parts
+    (``code_parts``) to keep the generated code small.
     """
-    s = strip_ws(code)
-    num = F.when(s.rlike(_NUMERIC_RE), s).try_cast("double")
+    if stripped is None or num is None:
+        stripped, num = code_parts(code)
+    s = stripped
     expr = (F.when(code.isNull() | (code == F.lit("?")), F.lit("Unknown"))
             .when(s.startswith("V"), F.lit("V_codes"))
             .when(s.startswith("E"), F.lit("E_codes"))

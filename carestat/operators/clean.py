@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, icd9_chapter, lookup
+from ..functions.columns import NUMERIC_RE, code_parts, col, icd9_chapter, lookup
 from ..schema import CODE_COLUMNS, DIAG_COLUMNS, MEDICATIONS, NUMERIC_COLUMNS
 from ..sources.codes import category_codes, is_small
 
@@ -73,18 +73,32 @@ def medication_columns(df: DataFrame) -> dict:
     return out
 
 
-def diagnosis_columns(df: DataFrame) -> dict:
+def add_diagnosis_columns(df: DataFrame) -> DataFrame:
     """Chapter, diabetes flag (raw code starts with 250), circulatory
-    and respiratory flags per diagnosis column."""
-    out = {}
-    for d in DIAG_COLUMNS:
-        if d in df.columns:
-            chapter = icd9_chapter(col(d))
-            out[f"{d}_category"] = chapter
-            out[f"{d}_is_diabetes"] = F.coalesce(col(d).startswith("250"), F.lit(False)).cast("int")
-            out[f"{d}_is_circulatory"] = (chapter == "Circulatory").cast("int")
-            out[f"{d}_is_respiratory"] = (chapter == "Respiratory").cast("int")
-    return out
+    and respiratory flags per diagnosis column.
+
+    Staged projections: the code is stripped and parsed once into helper
+    columns, the chapter ladder reads those, the flags read the chapter.
+    """
+    diags = [d for d in DIAG_COLUMNS if d in df.columns]
+    if not diags:
+        return df
+    parts = {}
+    for d in diags:
+        s, n = code_parts(col(d))
+        parts[f"__{d}_s"] = s
+    df = df.withColumns(parts)
+    df = df.withColumns({f"__{d}_n": F.when(F.col(f"__{d}_s").rlike(NUMERIC_RE), F.col(f"__{d}_s"))
+                         .try_cast("double") for d in diags})
+    df = df.withColumns({f"{d}_category": icd9_chapter(col(d), F.col(f"__{d}_s"), F.col(f"__{d}_n"))
+                         for d in diags})
+    flags = {}
+    for d in diags:
+        chapter = F.col(f"{d}_category")
+        flags[f"{d}_is_diabetes"] = F.coalesce(col(d).startswith("250"), F.lit(False)).cast("int")
+        flags[f"{d}_is_circulatory"] = (chapter == "Circulatory").cast("int")
+        flags[f"{d}_is_respiratory"] = (chapter == "Respiratory").cast("int")
+    return df.withColumns(flags).drop(*[f"__{d}_{x}" for d in diags for x in ("s", "n")])
 
 
 def lab_and_target_columns(df: DataFrame) -> dict:
@@ -100,13 +114,12 @@ def lab_and_target_columns(df: DataFrame) -> dict:
     return out
 
 
-def clean(df: DataFrame, codes: DataFrame, *, codes_bounded: bool = False) -> DataFrame:
+def clean(df: DataFrame, codes: DataFrame, *, codes_bounded: bool = False,
+          drop_ids: bool = True) -> DataFrame:
     """Full cleaning step: adds 65 columns and drops the 3 decoded ids."""
     df = replace_sentinel(df)
-    df = decode_codes(df, codes, codes_bounded=codes_bounded)
+    df = decode_codes(df, codes, codes_bounded=codes_bounded, drop_ids=drop_ids)
     df = coerce_numeric(df)
-    new = {}
-    new.update(medication_columns(df))
-    new.update(diagnosis_columns(df))
-    new.update(lab_and_target_columns(df))
-    return df.withColumns(new)
+    df = df.withColumns(medication_columns(df))
+    df = add_diagnosis_columns(df)
+    return df.withColumns(lab_and_target_columns(df))
