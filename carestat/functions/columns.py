@@ -144,3 +144,9 @@ def corr_parts(x: Column, y: Column, prefix: str) -> list[Column]:
 def corr_from_parts(prefix: str) -> Column:
     cov, vx, vy = (F.col(f"{prefix}__cov"), F.col(f"{prefix}__vx"), F.col(f"{prefix}__vy"))
     return safe_div(cov, F.sqrt(vx * vy))
+
+
+def rows_of(names, *rows) -> Column:
+    """Array of structs with the same field names (for ``inline`` unpivots)."""
+    return F.array(*[F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(n)
+                                for n, v in zip(names, r)]) for r in rows])

@@ -211,3 +211,168 @@ def p18_band_rates(spark, sf_dir):
 @query("p19_comorbidity_lift")
 def p19_comorbidity_lift(spark, sf_dir):
     return P.comorbidity_lift(tables.featured(spark, sf_dir))
+
+
+# ------------------------------------------------------------- scoring ----
+from ..operators import impact as B  # noqa: E402
+from ..operators import metrics as E  # noqa: E402
+from ..operators import score as R  # noqa: E402
+
+
+def rule_scored(spark, sf_dir) -> DataFrame:
+    """Featured encounters with the rule score and its tiers."""
+    df = R.with_rule_score(tables.featured(spark, sf_dir))
+    return df.withColumns({"risk_tier": R.risk_tier("rule_score"),
+                           "report_tier": R.report_tier("scaled_rule_score")})
+
+
+def scored_population(spark, sf_dir) -> DataFrame:
+    """(encounter_id, label, score): the scaled rule score as probability."""
+    return E.scored_view(rule_scored(spark, sf_dir), "readmitted_30d", "scaled_rule_score",
+                         key="encounter_id")
+
+
+@query("r2_rule_score")
+def r2_rule_score(spark, sf_dir):
+    df = rule_scored(spark, sf_dir)
+    return df.select("encounter_id", F.round("rule_score", 9).alias("rule_score"),
+                     "scaled_rule_score")
+
+
+@query("r3_r4_risk_tiers")
+def r3_r4_risk_tiers(spark, sf_dir):
+    return rule_scored(spark, sf_dir).select("encounter_id", "risk_tier", "report_tier")
+
+
+@query("r5_recommended_actions")
+def r5_recommended_actions(spark, sf_dir):
+    return R.recommended_actions(rule_scored(spark, sf_dir))
+
+
+@query("r6_tier_population")
+def r6_tier_population(spark, sf_dir):
+    return R.tier_population(rule_scored(spark, sf_dir))
+
+
+# ------------------------------------------------------------ evaluation --
+@query("e2_confusion_matrix")
+def e2_confusion_matrix(spark, sf_dir):
+    return E.confusion(scored_population(spark, sf_dir))
+
+
+@query("e3_threshold_metrics")
+def e3_threshold_metrics(spark, sf_dir):
+    return E.threshold_metrics(scored_population(spark, sf_dir))
+
+
+@query("e4_class_report")
+def e4_class_report(spark, sf_dir):
+    return E.class_report(scored_population(spark, sf_dir))
+
+
+@query("e5_e6_ranking_metrics")
+def e5_e6_ranking_metrics(spark, sf_dir):
+    return E.ranking_metrics(scored_population(spark, sf_dir))
+
+
+@query("e7_roc_points")
+def e7_roc_points(spark, sf_dir):
+    return E.roc_points(scored_population(spark, sf_dir))
+
+
+@query("e8_pr_points")
+def e8_pr_points(spark, sf_dir):
+    return E.pr_points(scored_population(spark, sf_dir))
+
+
+@query("e9_prevalence")
+def e9_prevalence(spark, sf_dir):
+    return E.prevalence(scored_population(spark, sf_dir))
+
+
+@query("e10_normalized_confusion")
+def e10_normalized_confusion(spark, sf_dir):
+    return E.normalized_confusion(scored_population(spark, sf_dir))
+
+
+@query("e11_comparison_table")
+def e11_comparison_table(spark, sf_dir):
+    sc = scored_population(spark, sf_dir)
+    return E.comparison_table([E.model_metrics(sc, "Rule Score", 0.5, 0),
+                               E.model_metrics(sc, "Rule Score (threshold 0.3)", 0.3, 1)])
+
+
+@query("e14_score_histogram")
+def e14_score_histogram(spark, sf_dir):
+    return E.score_histogram(scored_population(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- impact --
+@query("b1_b3_cost_analysis")
+def b1_b3_cost_analysis(spark, sf_dir):
+    return B.cost_analysis(scored_population(spark, sf_dir))
+
+
+@query("b2_scenarios")
+def b2_scenarios(spark, sf_dir):
+    return B.scenarios(B.cost_analysis(scored_population(spark, sf_dir)))
+
+
+@query("b4_high_risk_summary")
+def b4_high_risk_summary(spark, sf_dir):
+    return B.high_risk_summary(scored_population(spark, sf_dir))
+
+
+@query("b5_threshold_sweep")
+def b5_threshold_sweep(spark, sf_dir):
+    return B.threshold_sweep(scored_population(spark, sf_dir))
+
+
+@query("b6_high_risk_profile")
+def b6_high_risk_profile(spark, sf_dir):
+    return B.high_risk_profile(tables.featured(spark, sf_dir), scored_population(spark, sf_dir))
+
+
+@query("b7_intervention_optimization")
+def b7_intervention_optimization(spark, sf_dir):
+    return B.intervention_optimization(B.threshold_sweep(scored_population(spark, sf_dir)))
+
+
+@query("b8_optimal_threshold")
+def b8_optimal_threshold(spark, sf_dir):
+    return B.optimal_threshold(
+        B.intervention_optimization(B.threshold_sweep(scored_population(spark, sf_dir))))
+
+
+@query("b9_hospital_sizes")
+def b9_hospital_sizes(spark, sf_dir):
+    sc = scored_population(spark, sf_dir)
+    opt = B.optimal_threshold(B.intervention_optimization(B.threshold_sweep(sc)))
+    return B.scale_to_sizes(opt, sc.agg(F.count(F.lit(1)).alias("total_patients")))
+
+
+@query("b10_what_if_grid")
+def b10_what_if_grid(spark, sf_dir):
+    return B.what_if_grid(B.threshold_sweep(scored_population(spark, sf_dir)))
+
+
+@query("b11_strategy_comparison")
+def b11_strategy_comparison(spark, sf_dir):
+    return B.strategy_comparison(B.cost_analysis(scored_population(spark, sf_dir)))
+
+
+@query("b12_top_fraction_capture")
+def b12_top_fraction_capture(spark, sf_dir):
+    return B.top_fraction_capture(scored_population(spark, sf_dir))
+
+
+@query("b13_size_benefits")
+def b13_size_benefits(spark, sf_dir):
+    return B.size_benefits(scored_population(spark, sf_dir))
+
+
+@query("s11_kpi_table")
+def s11_kpi_table(spark, sf_dir):
+    sc = scored_population(spark, sf_dir)
+    opt = B.optimal_threshold(B.intervention_optimization(B.threshold_sweep(sc)))
+    return B.kpi_table(B.cost_analysis(sc), opt)

@@ -238,3 +238,5 @@ oracle("p19_comorbidity_lift", with_tables(
     "ROUND(AVG(readmitted_30d), 6) AS overall_rate, "
     "ROUND(AVG(CASE WHEN circulatory_respiratory_comorbidity = 1 THEN readmitted_30d END) / "
     "NULLIF(AVG(readmitted_30d), 0) - 1.0, 6) AS lift FROM fea", "fea"))
+
+from . import oracle_eval  # noqa: E402,F401  (registers the evaluation oracles)
