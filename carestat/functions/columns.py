@@ -31,6 +31,27 @@ def zero_div(num: Column, den: Column) -> Column:
     return F.coalesce(safe_div(num, den), F.lit(0.0))
 
 
+def sql_lit(v) -> str:
+    """Spark SQL literal text."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def case_sql(expr: str, mapping: dict, default=None) -> str:
+    """``CASE expr WHEN k THEN v ... ELSE default END`` as Spark SQL text."""
+    whens = " ".join(f"WHEN {sql_lit(k)} THEN {sql_lit(v)}" for k, v in mapping.items())
+    return f"CASE {expr} {whens} ELSE {sql_lit(default)} END"
+
+
+def lookup_col(name: str, mapping: dict, default=None) -> Column:
+    """Literal lookup on a named column, built as one SQL expression (a single
+    JVM parse instead of one py4j call per branch)."""
+    return F.expr(case_sql(f"`{name}`", mapping, default))
+
+
 def lookup(c: Column, mapping: dict, default=None) -> Column:
     """Literal CASE lookup ``mapping[c]`` with a default for misses and NULL."""
     expr = None

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NUMERIC_RE, code_parts, col, icd9_chapter, lookup
+from ..functions.columns import NUMERIC_RE, code_parts, col, icd9_chapter, lookup_col, sql_lit
 from ..schema import CODE_COLUMNS, DIAG_COLUMNS, MEDICATIONS, NUMERIC_COLUMNS
 from ..sources.codes import category_codes, is_small
 
@@ -25,8 +25,9 @@ READMIT_CLASS = {"<30": 2, ">30": 1, "NO": 0}
 
 def replace_sentinel(df: DataFrame, sentinel: str = "?") -> DataFrame:
     """The sentinel string becomes NULL in every string column."""
+    lit_ = sql_lit(sentinel)
     return df.withColumns({
-        f.name: F.nullif(col(f.name), F.lit(sentinel))
+        f.name: F.expr(f"nullif(`{f.name}`, {lit_})")
         for f in df.schema.fields if isinstance(f.dataType, T.StringType)
     })
 
@@ -68,8 +69,8 @@ def medication_columns(df: DataFrame) -> dict:
     out = {}
     for m in MEDICATIONS:
         if m in df.columns:
-            out[f"{m}_used"] = F.when(col(m) == "No", F.lit(0)).otherwise(F.lit(1))
-            out[f"{m}_dosage"] = lookup(col(m), DOSAGE)
+            out[f"{m}_used"] = F.expr(f"CASE WHEN `{m}` = 'No' THEN 0 ELSE 1 END")
+            out[f"{m}_dosage"] = lookup_col(m, DOSAGE)
     return out
 
 
@@ -105,12 +106,12 @@ def lab_and_target_columns(df: DataFrame) -> dict:
     """Ordinal A1C and glucose levels, binary and 3-class targets."""
     out = {}
     if "A1Cresult" in df.columns:
-        out["A1C_value"] = lookup(col("A1Cresult"), A1C_LEVEL)
+        out["A1C_value"] = lookup_col("A1Cresult", A1C_LEVEL)
     if "max_glu_serum" in df.columns:
-        out["glucose_value"] = lookup(col("max_glu_serum"), GLUCOSE_LEVEL)
+        out["glucose_value"] = lookup_col("max_glu_serum", GLUCOSE_LEVEL)
     if "readmitted" in df.columns:
         out["readmitted_30d"] = F.when(col("readmitted") == "<30", F.lit(1)).otherwise(F.lit(0))
-        out["readmitted_class"] = lookup(col("readmitted"), READMIT_CLASS)
+        out["readmitted_class"] = lookup_col("readmitted", READMIT_CLASS)
     return out
 
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import col, cut_right_closed, lookup
+from ..functions.columns import col, cut_right_closed, lookup_col
 from ..schema import DIAG_COLUMNS, MEDICATIONS, VISIT_COLUMNS
 
 # --- fixed values: age band midpoints and right-closed bin tables ---------
@@ -35,14 +35,14 @@ def features(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     first = {}
     if "age" in have:
-        age_num = F.coalesce(lookup(col("age"), AGE_MIDPOINT), F.lit(AGE_MIDPOINT_DEFAULT))
+        age_num = lookup_col("age", AGE_MIDPOINT, AGE_MIDPOINT_DEFAULT)
         first["age_numeric"] = age_num
         first["age_group"] = cut_right_closed(age_num, *AGE_GROUP_BINS)
     if all(c in have for c in VISIT_COLUMNS):
         first["total_visits"] = _sum([F.coalesce(col(c), F.lit(0)) for c in VISIT_COLUMNS])
     used = [f"{m}_used" for m in MEDICATIONS if f"{m}_used" in have]
     if used:
-        total = _sum([col(c) for c in used])
+        total = F.expr(" + ".join(f"`{c}`" for c in used))
         first["total_meds_used"] = total
         first["med_diversity_ratio"] = total / F.lit(float(len(used)))
     if "number_diagnoses" in have:
@@ -73,6 +73,6 @@ def features(df: DataFrame) -> DataFrame:
     dosage = [f"{m}_dosage" for m in MEDICATIONS if f"{m}_dosage" in have]
     if dosage:
         # a missing dosage counts as a change
-        second["med_changes_count"] = _sum(
-            [F.when(col(c).isin(0, 1), F.lit(0)).otherwise(F.lit(1)) for c in dosage])
+        second["med_changes_count"] = F.expr(" + ".join(
+            f"(CASE WHEN `{c}` IN (0, 1) THEN 0 ELSE 1 END)" for c in dosage))
     return out.withColumns(second) if second else out

@@ -376,3 +376,29 @@ def s11_kpi_table(spark, sf_dir):
     sc = scored_population(spark, sf_dir)
     opt = B.optimal_threshold(B.intervention_optimization(B.threshold_sweep(sc)))
     return B.kpi_table(B.cost_analysis(sc), opt)
+
+
+# ------------------------------------------------------------ modelling ---
+from ..operators import prepare as M  # noqa: E402
+from ..operators import train as T  # noqa: E402
+
+
+def split_view(spark, sf_dir) -> DataFrame:
+    return tables._memo("split", spark, sf_dir,
+                        lambda: M.stratified_split(tables.featured(spark, sf_dir)))
+
+
+@query("m3_stratified_split")
+def m3_stratified_split(spark, sf_dir):
+    return split_view(spark, sf_dir).select("encounter_id", "readmitted_30d", "split")
+
+
+@query("p17_class_counts")
+def p17_class_counts(spark, sf_dir):
+    return P.class_counts(split_view(spark, sf_dir))
+
+
+@query("t1_class_weights")
+def t1_class_weights(spark, sf_dir):
+    train = split_view(spark, sf_dir).filter(F.col("split") == "train")
+    return T.class_weights(train.withColumnRenamed("readmitted_30d", "label"))

@@ -240,3 +240,4 @@ oracle("p19_comorbidity_lift", with_tables(
     "NULLIF(AVG(readmitted_30d), 0) - 1.0, 6) AS lift FROM fea", "fea"))
 
 from . import oracle_eval  # noqa: E402,F401  (registers the evaluation oracles)
+from . import oracle_model  # noqa: E402,F401

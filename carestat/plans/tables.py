@@ -10,22 +10,36 @@ from ..sources.codes import code_dimension
 from ..sources.fixture import encounters
 
 
+_VIEWS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """Define each view plan once per session (like a temp view): a logical
+    plan object is cached, never data; every query still scans the tables."""
+    key = (kind, id(spark), sf_dir)
+    df = _VIEWS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = build()
+        _VIEWS[key] = df
+    return df
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw encounter table as loaded (sentinels still present)."""
-    return encounters(spark, sf_dir)
+    return _memo("raw", spark, sf_dir, lambda: encounters(spark, sf_dir))
 
 
 def sentinel_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw columns with '?' read as missing (the exploratory view)."""
-    return replace_sentinel(encounters(spark, sf_dir))
+    return _memo("sentinel_free", spark, sf_dir, lambda: replace_sentinel(raw(spark, sf_dir)))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, *, keep_ids: bool = False) -> DataFrame:
     """C1-C13 applied; the built-in code dimension has a literal, proven size."""
-    return clean(encounters(spark, sf_dir), code_dimension(spark), codes_bounded=True,
-                 drop_ids=not keep_ids)
+    return _memo(f"cleaned{keep_ids}", spark, sf_dir, lambda: clean(
+        raw(spark, sf_dir), code_dimension(spark), codes_bounded=True, drop_ids=not keep_ids))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned plus F1-F14: the processed table every analysis starts from."""
-    return features(cleaned(spark, sf_dir))
+    return _memo("featured", spark, sf_dir, lambda: features(cleaned(spark, sf_dir)))

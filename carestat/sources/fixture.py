@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import case_sql
 from ..schema import MEDICATIONS, encounter_schema
 
 
@@ -58,21 +59,22 @@ def _case(key, mapping: dict, default):
     return expr.otherwise(F.lit(default))
 
 
-def diag_code(d) -> "F.Column":
+def diag_code(d: str) -> "F.Column":
     """Diagnosis code text from an integer part key (first matching rule wins)."""
-    return (F.when(d.isNull(), F.lit("?"))
-            .when(d % 50 == 0, F.concat(F.lit("V"), (d % 90).cast("string")))
-            .when(d % 37 == 0, F.concat(F.lit("E"), (F.lit(800) + d % 200).cast("string")))
-            .when(d % 10 == 3, F.lit("250.83"))
-            .otherwise((F.lit(1) + d % 1005).cast("string")))
+    return F.expr(
+        f"CASE WHEN {d} IS NULL THEN '?' "
+        f"WHEN {d} % 50 = 0 THEN concat('V', CAST({d} % 90 AS STRING)) "
+        f"WHEN {d} % 37 = 0 THEN concat('E', CAST(800 + {d} % 200 AS STRING)) "
+        f"WHEN {d} % 10 = 3 THEN '250.83' "
+        f"ELSE CAST(1 + {d} % 1005 AS STRING) END")
 
 
-def medication_status(i: int, name: str, o, c):
+def medication_status(i: int, name: str):
     if name in CONSTANT_NO_MEDS:
         return F.lit("No")
     m = 11 if (i < 9 or name == "insulin") else 97
-    r = (o * F.lit(7 + 2 * i) + c * F.lit(3 + i)) % m
-    return _case(r, STATUS_BY_REMAINDER, "No")
+    return F.expr(case_sql(f"((o_orderkey * {7 + 2 * i} + o_custkey * {3 + i}) % {m})",
+                           STATUS_BY_REMAINDER, "No"))
 
 
 def order_lines(lineitem: DataFrame) -> DataFrame:
@@ -127,9 +129,11 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.coalesce(F.col("qty"), F.lit(0))
     n_lines = F.coalesce(F.col("n_lines"), F.lit(0))
     n_parts = F.coalesce(F.col("n_parts"), F.lit(0))
-    d1 = F.col("p_min")
-    d2 = F.when(n_parts >= 2, F.col("p_max"))
-    d3 = F.when(n_parts >= 3, F.col("p_sum"))
+    base = base.withColumns({
+        "d1": F.col("p_min"),
+        "d2": F.when(n_parts >= 2, F.col("p_max")),
+        "d3": F.when(n_parts >= 3, F.col("p_sum")),
+    })
     band = (c % 10) * 10
     gap = F.date_diff("next_day", "day")
     readmitted = (F.when(o < F.col("last_key_of_day"), F.lit("<30"))
@@ -156,15 +160,15 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "number_outpatient": F.col("number_outpatient"),
         "number_emergency": F.col("number_emergency"),
         "number_inpatient": F.col("number_inpatient"),
-        "diag_1": diag_code(d1),
-        "diag_2": diag_code(d2),
-        "diag_3": diag_code(d3),
+        "diag_1": diag_code("d1"),
+        "diag_2": diag_code("d2"),
+        "diag_3": diag_code("d3"),
         "number_diagnoses": ((n_parts + c) % 16 + 1).cast("int"),
         "max_glu_serum": _case(o % 20, GLUCOSE_BY_MOD20, "None"),
         "A1Cresult": _case(o % 12, A1C_BY_MOD12, "None"),
     }
     for i, m in enumerate(MEDICATIONS):
-        cols[m] = medication_status(i, m, o, c)
+        cols[m] = medication_status(i, m)
     cols["change"] = F.when(o % 2 == 0, F.lit("Ch")).otherwise(F.lit("No"))
     cols["diabetesMed"] = F.when(o % 4 == 0, F.lit("No")).otherwise(F.lit("Yes"))
     cols["readmitted"] = readmitted
