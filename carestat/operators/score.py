@@ -143,3 +143,47 @@ def score_with_model(df: DataFrame, model, defaults: dict | None = None,
         df = df.na.fill(present)
     out = model.transform(df)
     return out.withColumn(prob_col, vector_to_array("probability")[1])
+
+
+# --- fixed values: raw defaults for patients scored with partial inputs ----
+# (derived columns are never defaulted; they are recomputed from these)
+RAW_DEFAULTS = {
+    "race": "Caucasian",
+    "admission_type_id": 1,
+    "discharge_disposition_id": 1,
+    "admission_source_id": 7,
+    "medical_specialty": "Internal Medicine",
+    "number_outpatient": 0,
+    "number_emergency": 0,
+    "number_inpatient": 0,
+    "diabetesMed": "Yes",
+    "change": "No",
+    "max_glu_serum": "None",
+    "A1Cresult": "None",
+    "diag_1": "428",
+    "diag_2": "250",
+    "diag_3": "250",
+}
+
+
+def score_patients(patients: DataFrame, prep, model, codes: DataFrame, *,
+                   defaults: dict | None = None, codes_bounded: bool = True) -> DataFrame:
+    """R1 end to end: raw patient rows (any subset of the raw columns) ->
+    cleaning -> features -> fitted preparation -> model -> score and tier."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..schema import MEDICATIONS
+    from .clean import clean
+    from .features import features
+    fill = dict(RAW_DEFAULTS if defaults is None else defaults)
+    for m in MEDICATIONS:
+        fill.setdefault(m, "No")
+    missing = {c: F.lit(v) for c, v in fill.items() if c not in patients.columns}
+    df = patients.withColumns(missing) if missing else patients
+    present = {c: v for c, v in fill.items() if c in patients.columns}
+    df = df.na.fill(present) if present else df
+    fea = features(clean(df, codes, codes_bounded=codes_bounded))
+    out = model.transform(prep.transform(fea))
+    score = vector_to_array("probability")[1]
+    return out.select(*[c for c in ("encounter_id",) if c in out.columns],
+                      score.alias("risk_score"), risk_tier(score).alias("risk_tier"))

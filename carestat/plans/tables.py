@@ -17,11 +17,11 @@ def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """Define each view plan once per session (like a temp view): a logical
     plan object is cached, never data; every query still scans the tables."""
     key = (kind, id(spark), sf_dir)
-    df = _VIEWS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = build()
-        _VIEWS[key] = df
-    return df
+    hit = _VIEWS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _VIEWS[key] = hit
+    return hit[1]
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
