@@ -201,7 +201,9 @@ def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None
     stages = [
         StringIndexer(inputCols=cat_in, outputCols=idx_out, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx_out, outputCols=ohe_out, dropLast=True, handleInvalid="keep"),
+        # the indexer already maps unseen values to its extra last index, which
+        # dropLast removes: unknown categories encode as all zeros
+        OneHotEncoder(inputCols=idx_out, outputCols=ohe_out, dropLast=True),
         VectorAssembler(inputCols=[f"__num_{c}" for c in numeric] + ohe_out
                         + [f"__pass_{c}" for c in passthrough], outputCol="features"),
     ]

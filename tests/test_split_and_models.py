@@ -103,3 +103,21 @@ def test_linear_contributions_sum_to_margin(spark):
     for r in c[:5]:
         margin = float(beta @ r.features.toArray()) + model.intercept
         assert sum(r.contrib) + float(beta @ mean) + model.intercept == pytest.approx(margin)
+
+
+def test_one_hot_unknown_is_all_zero(spark):
+    from carestat.operators import prepare as M
+    train = spark.createDataFrame([("a", 1.0, 0), ("b", 2.0, 1), ("b", None, 0)],
+                                  "gender string, time_in_hospital double, readmitted_30d int")
+    groups = {"categorical": ["gender"], "numeric": ["time_in_hospital"], "binary": [],
+              "medication": []}
+    prep = M.fit_preparation(train, groups)
+    assert prep.feature_names == ["time_in_hospital", "gender_a", "gender_b"]
+    test = spark.createDataFrame([("zzz", 3.0, 0), (None, None, 1)],
+                                 "gender string, time_in_hospital double, readmitted_30d int")
+    rows = prep.transform(test).select("features").collect()
+    assert rows[0].features.size == 3
+    assert list(rows[0].features.toArray()[1:]) == [0.0, 0.0]      # unseen -> all zeros
+    assert list(rows[1].features.toArray()[1:]) == [0.0, 1.0]      # NULL -> mode 'b'
+    # numeric: median 1.5 imputed, population std of the imputed train column
+    assert rows[1].features.toArray()[0] == 0.0
