@@ -3,8 +3,8 @@
 Input: ``label`` (0/1) and ``score`` columns, as in ``metrics``.
 
 Scale notes: every row-level step is a single global aggregate. The
-threshold sweep buckets each score by the threshold list (a CASE ladder,
-no theta join) and accumulates over at most len(thresholds) buckets;
+threshold sweep is one pass of conditional sums per threshold (no theta
+join);
 top-fraction capture accumulates over the distinct-score table and emits
 the boundary rows with a generator, so no join against a parameter table
 is ever needed. Parameter grids and population sizes are expanded with
@@ -123,27 +123,24 @@ def high_risk_summary(scored: DataFrame, threshold: float = HIGH_RISK_THRESHOLD)
 # ------------------------------------------------------------------ B5 ----
 def threshold_sweep(scored: DataFrame, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
     """Per threshold t, rows with score >= t, positives among them,
-    precision and recall (0 when undefined)."""
+    precision and recall (0 when undefined).
+
+    One pass: a conditional count and sum per threshold (the list is short
+    and fixed), then a ``stack`` unpivot of the single result row.
+    """
     ts = sorted(thresholds)
-    bucket = None  # index of the largest threshold <= score
-    for i in range(len(ts) - 1, -1, -1):
-        cond = F.col(SCORE) >= F.lit(ts[i])
-        bucket = F.when(cond, F.lit(i)) if bucket is None else bucket.when(cond, F.lit(i))
-    per = scored.groupBy(bucket.alias("k")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(LABEL)).cast("bigint").alias("pos"))
-    # <= len(ts) + 1 rows from here on
-    per = per.withColumn("pos_total", F.sum("pos").over(Window.partitionBy()))
-    dim = scored.sparkSession.createDataFrame(list(enumerate(ts)), "k int, threshold double")
-    full = dim.join(F.broadcast(per.filter(F.col("k").isNotNull())), "k", "left")
-    full = full.withColumn("pos_total", F.max("pos_total").over(Window.partitionBy()))
-    down = Window.orderBy(F.desc("k")).rowsBetween(Window.unboundedPreceding, 0)
-    flagged = F.sum(F.coalesce(F.col("n"), F.lit(0))).over(down)
-    tp = F.sum(F.coalesce(F.col("pos"), F.lit(0))).over(down)
-    out = full.select("threshold", flagged.alias("patients_flagged"), tp.alias("true_readmissions"), "pos_total")
-    return out.select("threshold", F.col("patients_flagged").cast("bigint").alias("patients_flagged"),
-                      F.col("true_readmissions").cast("bigint").alias("true_readmissions"),
-                      r6(zero_div(F.col("true_readmissions"), F.col("patients_flagged"))).alias("precision"),
-                      r6(zero_div(F.col("true_readmissions"), F.col("pos_total"))).alias("recall"))
+    s, y = F.col(SCORE), F.col(LABEL)
+    aggs = [F.sum(y).cast("bigint").alias("pos_total")]
+    for i, t in enumerate(ts):
+        aggs.append(F.count_if(s >= F.lit(t)).alias(f"n{i}"))
+        aggs.append(F.coalesce(F.sum(F.when(s >= F.lit(t), y)), F.lit(0)).cast("bigint").alias(f"p{i}"))
+    one = scored.agg(*aggs)
+    stack = ", ".join(f"CAST({t!r} AS DOUBLE), n{i}, p{i}" for i, t in enumerate(ts))
+    long = one.selectExpr("pos_total", f"stack({len(ts)}, {stack}) AS (threshold, flagged, tp)")
+    return long.select("threshold", F.col("flagged").cast("bigint").alias("patients_flagged"),
+                       F.col("tp").cast("bigint").alias("true_readmissions"),
+                       r6(zero_div(F.col("tp"), F.col("flagged"))).alias("precision"),
+                       r6(zero_div(F.col("tp"), F.col("pos_total"))).alias("recall"))
 
 
 # ------------------------------------------------------------------ B6 ----
@@ -221,11 +218,14 @@ def what_if_grid(sweep: DataFrame, readmission_costs=GRID_READMISSION_COST,
                  effectiveness=GRID_EFFECTIVENESS) -> DataFrame:
     """Best threshold and its net benefit/ROI for every point of a
     readmission-cost x intervention-cost x effectiveness grid."""
-    grid = F.array(*[F.struct(F.lit(float(r)).alias("readmission_cost"),
-                              F.lit(float(i)).alias("intervention_cost"),
-                              F.lit(float(e)).alias("effectiveness"))
-                     for r in readmission_costs for i in intervention_costs for e in effectiveness])
-    rows = sweep.select("threshold", "patients_flagged", "true_readmissions", F.inline(grid))
+    # three small literal axes, exploded in turn (keeps generated code small)
+    rows = (sweep.select("threshold", "patients_flagged", "true_readmissions")
+            .withColumn("readmission_cost",
+                        F.explode(F.array(*[F.lit(float(r)) for r in readmission_costs])))
+            .withColumn("intervention_cost",
+                        F.explode(F.array(*[F.lit(float(i)) for i in intervention_costs])))
+            .withColumn("effectiveness",
+                        F.explode(F.array(*[F.lit(float(e)) for e in effectiveness]))))
     cost = F.col("patients_flagged") * F.col("intervention_cost")
     net = F.col("true_readmissions") * F.col("effectiveness") * F.col("readmission_cost") - cost
     rows = rows.select("*", net.alias("net"), cost.alias("cost"))

@@ -111,7 +111,10 @@ def recommended_actions(df: DataFrame, *, tier: str = "risk_tier",
     """Long form (key, tier, action_no, action) via a broadcast lookup of the
     three-row action table and ``posexplode``."""
     dim = F.broadcast(action_dimension(df.sparkSession).withColumnRenamed("risk_tier", tier))
-    return (df.select(key, tier).join(dim, tier, "inner")
+    # left join: an inner join would infer "tier IS NOT NULL" and push the
+    # whole score expression into a second filter copy; posexplode of the
+    # NULL array of an unmatched row yields nothing, so the result is equal
+    return (df.select(key, tier).join(dim, tier, "left")
             .select(key, tier, F.posexplode("actions").alias("pos", "action"))
             .select(key, tier, (F.col("pos") + 1).alias("action_no"), "action"))
 
