@@ -381,13 +381,16 @@ def s11_kpi_table(spark, sf_dir):
 # ------------------------------------------------------------ modelling ---
 from ..operators import prepare as M  # noqa: E402
 from ..operators import train as T  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
 
 
 def split_view(spark, sf_dir) -> DataFrame:
     """Featured rows with the exact split, materialised once in the shared
     checkpoint folder: model preparation makes several passes over it."""
-    return tables._memo("split", spark, sf_dir,
-                        lambda: M.stratified_split(tables.featured(spark, sf_dir)).checkpoint())
+    def build():
+        ensure_checkpoint_dir(spark)  # the session's spark.checkpoint.dir
+        return M.stratified_split(tables.featured(spark, sf_dir)).checkpoint()
+    return tables._memo("split", spark, sf_dir, build)
 
 
 @query("m3_stratified_split")
@@ -411,6 +414,7 @@ def matrix_view(spark, sf_dir):
     the shared checkpoint folder so six fits and the scoring reuse it without
     recomputing the encounter pipeline (and survive executor loss)."""
     def build():
+        ensure_checkpoint_dir(spark)
         split = split_view(spark, sf_dir)
         groups = M.feature_groups(split)
         prep = M.fit_preparation(split.filter(F.col("split") == "train"), groups)
