@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NUMERIC_RE, code_parts, col, icd9_chapter, lookup_col, sql_lit
+from ..functions.columns import code_parts, col, icd9_chapter, lookup_col, numeric_value, sql_lit
 from ..schema import CODE_COLUMNS, DIAG_COLUMNS, MEDICATIONS, NUMERIC_COLUMNS
 from ..sources.codes import category_codes, is_small
 
@@ -89,8 +89,7 @@ def add_diagnosis_columns(df: DataFrame) -> DataFrame:
         s, n = code_parts(col(d))
         parts[f"__{d}_s"] = s
     df = df.withColumns(parts)
-    df = df.withColumns({f"__{d}_n": F.when(F.col(f"__{d}_s").rlike(NUMERIC_RE), F.col(f"__{d}_s"))
-                         .try_cast("double") for d in diags})
+    df = df.withColumns({f"__{d}_n": numeric_value(F.col(f"__{d}_s")) for d in diags})
     df = df.withColumns({f"{d}_category": icd9_chapter(col(d), F.col(f"__{d}_s"), F.col(f"__{d}_n"))
                          for d in diags})
     flags = {}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col
+from ..functions.columns import col, values_table
 from ..schema import BINARY_FEATURES, CATEGORICAL_FEATURES, MED_USED_FEATURES, NUMERIC_FEATURES
 
 TARGET = "readmitted_30d"
@@ -221,7 +221,7 @@ def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None
 
 def feature_name_table(prep: Preparation, spark) -> DataFrame:
     """(idx, feature) in vector order."""
-    return spark.createDataFrame(list(enumerate(prep.feature_names)), "idx int, feature string")
+    return values_table(spark, [("idx", "int"), ("feature", "string")], list(enumerate(prep.feature_names)))
 
 
 def model_matrix(featured: DataFrame, *, label: str = TARGET, key: str = "encounter_id",

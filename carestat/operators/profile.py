@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import bin_left_closed, col, corr_from_parts, corr_parts, r6, safe_div
+from ..functions.columns import (bin_left_closed, col, corr_from_parts, corr_parts, r6, safe_div,
+                                 values_table)
 from ..schema import MEDICATIONS, NUMERIC_COLUMNS
 
 LABEL = "readmitted_30d"
@@ -150,7 +151,7 @@ def extreme_groups(df: DataFrame, columns: Sequence[str], *, label: str = LABEL)
 # -------------------------------------------------------------------- P8 --
 def bin_dimension(spark: SparkSession, spec=CLINICAL_BINS) -> DataFrame:
     rows = [(v, i, lab) for v, _, labels in spec for i, lab in enumerate(labels)]
-    return spark.createDataFrame(rows, "variable string, bin_order int, bin string")
+    return values_table(spark, [("variable", "string"), ("bin_order", "int"), ("bin", "string")], rows)
 
 
 def binned_rates(df: DataFrame, spec=CLINICAL_BINS, *, label: str = LABEL) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, lookup, r6, safe_div
+from ..functions.columns import col, lookup, r6, safe_div, sql_lit
 
 # --- fixed values: rule score weights --------------------------------------
 AGE_WEIGHT = {
@@ -100,10 +100,10 @@ def report_tier(score, cutoffs: Sequence[float] = REPORT_TIER_CUTOFFS):
 
 
 def action_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [(t, a) for t, a in TIER_ACTIONS.items()],
-        T.StructType([T.StructField("risk_tier", T.StringType()),
-                      T.StructField("actions", T.ArrayType(T.StringType()))]))
+    """(risk_tier, actions array): a three-row literal relation (JVM-side)."""
+    rows = ", ".join("(" + sql_lit(t) + ", array(" + ", ".join(sql_lit(a) for a in acts) + "))"
+                     for t, acts in TIER_ACTIONS.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(risk_tier, actions)")
 
 
 def recommended_actions(df: DataFrame, *, tier: str = "risk_tier",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import values_table
 from ..schema import CATEGORY_MARKERS, CODE_LISTS, CODE_SCHEMA, FALLBACK_CODE_LISTS
 
 # A code dimension larger than this is not broadcast (see ``is_small``).
@@ -22,18 +23,9 @@ def code_dimension(spark: SparkSession, lists: dict | None = None) -> DataFrame:
     The literal text "NULL" is a missing description.
     """
     lists = lists or CODE_LISTS
-    frames = [
-        spark.createDataFrame(
-            [(int(i), _null_text(d)) for i, d in rows],
-            T.StructType([T.StructField("id", T.IntegerType()),
-                          T.StructField("description", T.StringType())]),
-        ).withColumn("category", F.lit(cat))
-        for cat, rows in lists.items()
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.select("category", "id", "description")
+    rows = [(cat, int(i), _null_text(d)) for cat, lst in lists.items() for i, d in lst]
+    return values_table(spark, [("category", "string"), ("id", "int"), ("description", "string")],
+                        rows)
 
 
 def read_code_list(spark: SparkSession, path: str) -> DataFrame:

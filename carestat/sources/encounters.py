@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import values_table
 from ..schema import EXPECTED_COLUMNS, encounter_schema
 
 
@@ -36,4 +37,6 @@ def missing_expected_columns(df: DataFrame) -> DataFrame:
     """Expected raw columns absent from ``df`` (plan-time set difference),
     as a one-column DataFrame; empty when all are present."""
     missing = [c for c in EXPECTED_COLUMNS if c not in df.columns]
-    return df.sparkSession.createDataFrame([(c,) for c in missing], "missing_column string")
+    if not missing:
+        return df.sparkSession.sql("SELECT CAST(NULL AS STRING) AS missing_column WHERE false")
+    return values_table(df.sparkSession, [("missing_column", "string")], [(c,) for c in missing])
