@@ -121,3 +121,22 @@ def test_one_hot_unknown_is_all_zero(spark):
     assert list(rows[1].features.toArray()[1:]) == [0.0, 1.0]      # NULL -> mode 'b'
     # numeric: median 1.5 imputed, population std of the imputed train column
     assert rows[1].features.toArray()[0] == 0.0
+
+
+def test_exact_knn_batches_match_brute_force(spark, monkeypatch):
+    import numpy as np
+    from carestat.operators import smote as SM
+    monkeypatch.setattr(SM, "QUERY_BATCH", 50)
+    monkeypatch.setattr(SM, "BLOCK", 7)
+    rng = np.random.default_rng(0)
+    pts = rng.normal(size=(300, 6)).round(3)
+    df = spark.createDataFrame([(i, [float(x) for x in pts[i]]) for i in range(300)],
+                               "vid long, v array<double>")
+    got = {}
+    for r in SM._exact_knn(df, df.filter("vid < 120"), 5, 120).collect():
+        got.setdefault(r.vid, []).append((r.dist, r.nid))
+    for q in range(120):
+        d = np.sqrt(((pts - pts[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        want = [int(j) for j in np.lexsort((np.arange(300), d))[:5]]
+        assert [n for _, n in sorted(got[q])] == want
