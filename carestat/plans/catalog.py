@@ -495,3 +495,11 @@ def r1_batch_scoring(spark, sf_dir):
     _, prep = matrix_view(spark, sf_dir)
     model = model_view(spark, sf_dir, "Logistic Regression")
     return R.score_patients(tables.raw(spark, sf_dir), prep, model, code_dimension(spark))
+
+
+@query("e13_tree_permutation_importance")
+def e13_tree_permutation_importance(spark, sf_dir):
+    from ..operators.explain import permutation_importance
+    matrix, prep = matrix_view(spark, sf_dir)
+    return permutation_importance(model_view(spark, sf_dir, "Random Forest"),
+                                  matrix.filter(F.col("split") == "test"), prep.feature_names)

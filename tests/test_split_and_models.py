@@ -140,3 +140,23 @@ def test_exact_knn_batches_match_brute_force(spark, monkeypatch):
         d[q] = np.inf
         want = [int(j) for j in np.lexsort((np.arange(300), d))[:5]]
         assert [n for _, n in sorted(got[q])] == want
+
+
+def test_permutation_importance_finds_signal(spark):
+    import numpy as np
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.linalg import Vectors
+    from carestat.operators import explain as X
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(600):
+        sig, noise = rng.normal(), rng.normal()
+        rows.append((i, int(sig > 0), Vectors.dense([noise, sig])))
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as Ty
+    df = spark.createDataFrame(rows, Ty.StructType([
+        Ty.StructField("encounter_id", Ty.LongType()), Ty.StructField("label", Ty.IntegerType()),
+        Ty.StructField("features", VectorUDT())]))
+    model = RandomForestClassifier(numTrees=10, maxDepth=4, seed=1).fit(df)
+    imp = {r.feature: r.auc_drop for r in X.permutation_importance(model, df, ["noise", "signal"]).collect()}
+    assert imp["signal"] > 0.2 and abs(imp["noise"]) < 0.05
