@@ -51,10 +51,21 @@ def feature_groups(df: DataFrame, target: str = TARGET) -> dict[str, list[str]]:
 
 
 def unique_names(names: list[str]) -> list[str]:
-    """M2: rename repeated names to name_1, name_2, ... (plan time)."""
+    """M2: rename repeated names to name_1, name_2, ... (plan time).
+
+    The suffix counts earlier occurrences of the same original name, so a
+    third copy becomes name_2 (never a second name_1); a suffix already in
+    use is skipped.
+    """
     out: list[str] = []
+    seen: dict[str, int] = {}
     for n in names:
-        new = n if n not in out else f"{n}_{out.count(n)}"
+        k = seen.get(n, 0)
+        new = n if k == 0 else f"{n}_{k}"
+        while new in out:
+            k += 1
+            new = f"{n}_{k}"
+        seen[n] = k + 1
         out.append(new)
     return out
 

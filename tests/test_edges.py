@@ -158,3 +158,23 @@ def test_top_fraction_tie_inclusive(spark):
     assert r[40].patients_flagged == 4 and r[40].capture_rate == 1.0
     assert r[100].patients_flagged == 5
     assert math.isclose(r[100].lift, 1.0)
+
+
+def test_duplicate_names_and_feature_groups(spark):
+    from carestat.operators import prepare as M
+    assert M.unique_names(["a", "b", "a", "a"]) == ["a", "b", "a_1", "a_2"]
+    df = spark.createDataFrame([(1, "x", 0)], "time_in_hospital int, gender string, readmitted_30d int")
+    g = M.feature_groups(df)
+    assert g["categorical"] == ["gender"] and g["numeric"] == ["time_in_hospital"]
+    with pytest.raises(ValueError):
+        M.feature_groups(df.drop("readmitted_30d"))
+
+
+def test_code_list_csv_scan(spark, tmp_path):
+    from carestat.sources.codes import read_code_list
+    p = tmp_path / "codes.csv"
+    p.write_text("category,id,description\nadmission_type,1,Emergency\nadmission_type,6,NULL\n"
+                 "admission_type,1,Emergency again\n")
+    rows = {(r.category, r.id): r.description for r in read_code_list(spark, str(p)).collect()}
+    assert rows[("admission_type", 6)] is None
+    assert rows[("admission_type", 1)] == "Emergency again"  # last row wins
