@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import values_table
 from ..schema import CATEGORY_MARKERS, CODE_LISTS, CODE_SCHEMA, FALLBACK_CODE_LISTS
