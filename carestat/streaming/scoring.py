@@ -40,3 +40,15 @@ def start_scoring(spark: SparkSession, source_dir: str, out_dir: str, checkpoint
     return (scored_stream(spark, source_dir).writeStream.format("parquet")
             .option("path", out_dir).option("checkpointLocation", checkpoint_dir)
             .outputMode("append").trigger(availableNow=True).start())
+
+
+def daily_tier_counts(scored: DataFrame, *, watermark: str = "30 days") -> DataFrame:
+    """Per admission day and tier: stays and mean score, emitted in append
+    mode once the watermark passes the day (bounded state: open days only)."""
+    ts = F.col("encounter_date").cast("timestamp")
+    return (scored.withColumn("event_time", ts)
+            .withWatermark("event_time", watermark)
+            .groupBy(F.window("event_time", "1 day").alias("day"), "risk_tier")
+            .agg(F.count(F.lit(1)).alias("count"), F.avg("rule_score").alias("mean_score"))
+            .select(F.col("day.start").cast("date").alias("day"), "risk_tier", "count",
+                    "mean_score"))

@@ -53,3 +53,24 @@ def test_streaming_scores_match_batch(spark):
     counts.awaitTermination()
     total = spark.table("tiers_test").agg(F.sum("count")).first()[0]
     assert total == raw.count()
+
+
+def test_streaming_daily_counts_with_watermark(spark):
+    from carestat.streaming.scoring import daily_tier_counts
+    src = scratch_path(spark, "test_stream_src_daily")
+    raw = tables.raw(spark, SF_SMALL)
+    # files arrive in event-time order (a feed), so nothing is later than the watermark
+    (raw.repartitionByRange(4, "encounter_date").sortWithinPartitions("encounter_date")
+     .write.mode("overwrite").parquet(src))
+    q = (daily_tier_counts(scored_stream(spark, src, max_files=1)).writeStream.format("memory")
+         .queryName("daily_test").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("daily_test")
+    # every emitted (day, tier) count equals the batch count for that day
+    from carestat.operators.score import risk_tier, with_rule_score
+    from carestat.plans import tables as TB
+    batch = (with_rule_score(TB.featured(spark, SF_SMALL))
+             .groupBy(F.col("encounter_date").alias("day"), risk_tier("rule_score").alias("risk_tier"))
+             .count())
+    assert got.count() > 0
+    assert got.select("day", "risk_tier", "count").exceptAll(batch).count() == 0
