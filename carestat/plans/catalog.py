@@ -420,7 +420,11 @@ def matrix_view(spark, sf_dir):
         prep = M.fit_preparation(split.filter(F.col("split") == "train"), groups)
         matrix = prep.transform(split).select(
             "encounter_id", F.col("readmitted_30d").alias("label"), "split", "features")
-        return matrix.checkpoint(), prep
+        # iterative training pays per partition and per round: size the
+        # partitions by rows (~1M each), never below the cluster's parallelism
+        n_rows = split.count()
+        parts = max(spark.sparkContext.defaultParallelism, -(-n_rows // 1_000_000))
+        return matrix.repartition(parts).checkpoint(), prep
     return tables._memo("matrix", spark, sf_dir, build)
 
 
