@@ -178,3 +178,14 @@ def test_code_list_csv_scan(spark, tmp_path):
     rows = {(r.category, r.id): r.description for r in read_code_list(spark, str(p)).collect()}
     assert rows[("admission_type", 6)] is None
     assert rows[("admission_type", 1)] == "Emergency again"  # last row wins
+
+
+def test_column_counts(spark):
+    from carestat.plans import tables
+    from conftest import SF_SMALL
+    raw = tables.raw(spark, SF_SMALL)
+    cleaned = tables.cleaned(spark, SF_SMALL)
+    featured = tables.featured(spark, SF_SMALL)
+    assert len(cleaned.columns) == len(raw.columns) + 65 - 3
+    assert len(featured.columns) == len(cleaned.columns) + 15
+    assert len(set(featured.columns)) == len(featured.columns)
