@@ -65,7 +65,7 @@ def _toy_matrix(spark, n_pos=12, n_neg=40, dup=0):
 @pytest.mark.parametrize("dup", [0, 9])
 def test_smote_equalises_and_interpolates(spark, dup):
     m = _toy_matrix(spark, dup=dup)
-    out = smote(m, radius=3.0)
+    out = smote(m)
     counts = {r.label: r["count"] for r in out.groupBy("label").count().collect()}
     assert counts[0] == counts[1] == 40
     syn = out.filter(F.col("encounter_id").isNull()).collect()
@@ -73,7 +73,7 @@ def test_smote_equalises_and_interpolates(spark, dup):
     for r in syn:  # inside the minority bounding box
         x, y = r.features.toArray()
         assert 10.0 <= x <= 13.0 and 10.0 <= y <= 12.0
-    again = smote(m, radius=3.0).filter(F.col("encounter_id").isNull())
+    again = smote(m).filter(F.col("encounter_id").isNull())
     assert sorted(tuple(r.features.toArray()) for r in again.collect()) == \
         sorted(tuple(r.features.toArray()) for r in syn)
 
@@ -160,3 +160,26 @@ def test_permutation_importance_finds_signal(spark):
     model = RandomForestClassifier(numTrees=10, maxDepth=4, seed=1).fit(df)
     imp = {r.feature: r.auc_drop for r in X.permutation_importance(model, df, ["noise", "signal"]).collect()}
     assert imp["signal"] > 0.2 and abs(imp["noise"]) < 0.05
+
+
+def test_forest_knn_exact_in_one_group_and_bounded_in_many(spark):
+    import numpy as np
+    from carestat.operators.smote import forest_knn
+    rng = np.random.default_rng(3)
+    pts = rng.normal(size=(200, 5)).round(3)
+    df = spark.createDataFrame([(i, [float(x) for x in pts[i]]) for i in range(200)],
+                               "vid long, v array<double>")
+    one = {}
+    for r in forest_knn(df, 5, trees=1, group_rows=1000).collect():
+        one.setdefault(r.vid, []).append((r.dist, r.nid))
+    for q in range(200):
+        d = np.sqrt(((pts - pts[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        want = [int(j) for j in np.lexsort((np.arange(200), d))[:5]]
+        assert [n for _, n in sorted(one[q])] == want
+    many = forest_knn(df, 5, trees=3, group_rows=25).collect()
+    by = {}
+    for r in many:
+        by.setdefault(r.vid, []).append(r)
+        assert r.dist == pytest.approx(float(np.sqrt(((pts[r.vid] - pts[r.nid]) ** 2).sum())), abs=1e-9)
+    assert len(by) == 200 and all(len(v) == 5 for v in by.values())
