@@ -249,16 +249,19 @@ def box_summary(df: DataFrame, columns: Sequence[str] = BOX_COLUMNS,
     # one stats row per (variable, group): a proven tiny broadcast side
     joined = long.join(F.broadcast(q), ["variable", "group"])
     inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
+    # the quartiles are constant per group: carry them through this second
+    # aggregation instead of joining the stats back a second time
     w = joined.groupBy("variable", "group").agg(
+        F.max("n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"),
+        F.max("q3").alias("q3"),
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"))
-    return (q.join(w, ["variable", "group"])
-            .select("variable", "group", F.col("n").cast("bigint").alias("n"),
+    return w.select("variable", "group", F.col("n").cast("bigint").alias("n"),
                     r6(F.col("q1")).alias("q1"), r6(F.col("median")).alias("median"),
                     r6(F.col("q3")).alias("q3"), r6(F.col("whisker_low")).alias("whisker_low"),
                     r6(F.col("whisker_high")).alias("whisker_high"),
-                    F.col("n_outliers").cast("bigint").alias("n_outliers")))
+                    F.col("n_outliers").cast("bigint").alias("n_outliers"))
 
 
 # -------------------------------------------------------------------- P15 --
