@@ -75,38 +75,36 @@ def cost_analysis(scored: DataFrame, threshold: float = 0.5, *,
     return out
 
 
-def scenarios(costs: DataFrame) -> DataFrame:
+def scenarios(costs: DataFrame, with_difference: bool = False) -> DataFrame:
     """B2/B11 long form: per strategy the intervention, readmission and total
     cost and the saving against doing nothing."""
     ic, rc = F.col("intervention_cost"), F.col("base_readmission_cost")
     eff = F.col("intervention_effectiveness")
     n, actual = F.col("total_patients"), F.col("actual_readmissions")
     pred, prevented = F.col("predicted_readmissions"), F.col("prevented_readmissions")
-    rows = rows_of(("strategy", "intervention", "readmission"),
-                   ("No Intervention", F.lit(0.0), actual * rc),
-                   ("Universal Intervention", n * ic, actual * (1 - eff) * rc),
-                   ("Model-Based Intervention", pred * ic, (actual - prevented) * rc),
-                   ("Perfect Prediction", actual * ic, actual * (1 - eff) * rc))
-    long = costs.select((actual * rc).alias("__base"), F.inline(rows))
-    total = F.col("intervention") + F.col("readmission")
-    return long.select("strategy", r6(F.col("intervention")).alias("intervention_cost"),
-                       r6(F.col("readmission")).alias("readmission_cost"),
-                       r6(total).alias("total_cost"),
-                       r6(F.col("__base") - total).alias("savings_vs_nothing"))
+    names = ("strategy", "intervention", "readmission", "total", "savings")
+    base = actual * rc
+
+    def r(label, inter, readm):
+        return (label, r6(inter), r6(readm), r6(inter + readm), r6(base - (inter + readm)))
+
+    univ = r("Universal Intervention", n * ic, actual * (1 - eff) * rc)
+    model = r("Model-Based Intervention", pred * ic, (actual - prevented) * rc)
+    rows = [r("No Intervention", F.lit(0.0), base), univ, model,
+            r("Perfect Prediction", actual * ic, actual * (1 - eff) * rc)]
+    if with_difference:
+        rows.append(("Model minus Universal", *[r6(m - u) for m, u in zip(model[1:], univ[1:])]))
+    long = costs.select(F.inline(rows_of(names, *rows)))
+    return long.select("strategy", F.col("intervention").alias("intervention_cost"),
+                       F.col("readmission").alias("readmission_cost"),
+                       F.col("total").alias("total_cost"),
+                       F.col("savings").alias("savings_vs_nothing"))
 
 
 def strategy_comparison(costs: DataFrame) -> DataFrame:
-    """The strategies plus the model-minus-universal difference row."""
-    s = scenarios(costs)
-    pivot = s.groupBy().agg(*[
-        F.max(F.when(F.col("strategy") == k, F.col(c))).alias(f"{t}_{c}")
-        for k, t in (("Model-Based Intervention", "m"), ("Universal Intervention", "u"))
-        for c in ("intervention_cost", "readmission_cost", "total_cost", "savings_vs_nothing")])
-    diff = pivot.select(
-        F.lit("Model minus Universal").alias("strategy"),
-        *[r6(F.col(f"m_{c}") - F.col(f"u_{c}")).alias(c)
-          for c in ("intervention_cost", "readmission_cost", "total_cost", "savings_vs_nothing")])
-    return s.unionByName(diff)
+    """The strategies plus the model-minus-universal difference row,
+    all from the one cost row (no second pass)."""
+    return scenarios(costs, with_difference=True)
 
 
 # ------------------------------------------------------------------ B4 ----
@@ -153,17 +151,19 @@ def high_risk_profile(featured: DataFrame, scored: DataFrame, *, key: str = "enc
     """
     flagged = scored.filter(F.col(SCORE) >= F.lit(threshold)).select(key)
     rows = featured.join(flagged, key, "left_semi")
-    dist = (rows.select(*[col(c).cast("string").alias(c) for c in ("age", "gender", "diag_1_category")])
-            .unpivot([], ["age", "gender", "diag_1_category"], "profile", "category")
-            .filter(F.col("category").isNotNull())
-            .groupBy("profile", "category").agg(F.count(F.lit(1)).cast("double").alias("value")))
-    means = rows.agg(F.avg("time_in_hospital").alias("avg_time_in_hospital"),
-                     F.avg("num_medications").alias("avg_num_medications"),
-                     F.avg("num_procedures").alias("avg_num_procedures"))
-    means = means.unpivot([], ["avg_time_in_hospital", "avg_num_medications", "avg_num_procedures"],
-                          "category", "value").select(F.lit("mean").alias("profile"), "category",
-                                                      "value")
-    return dist.unionByName(means).select("profile", "category", r6(F.col("value")).alias("value"))
+    # one pass: each flagged stay becomes six (profile, category, x) rows
+    long = rows.select(F.inline(rows_of(
+        ("profile", "category", "x"),
+        ("age", col("age").cast("string"), F.lit(None).cast("double")),
+        ("gender", col("gender").cast("string"), F.lit(None).cast("double")),
+        ("diag_1_category", col("diag_1_category").cast("string"), F.lit(None).cast("double")),
+        ("mean", F.lit("avg_time_in_hospital"), col("time_in_hospital").cast("double")),
+        ("mean", F.lit("avg_num_medications"), col("num_medications").cast("double")),
+        ("mean", F.lit("avg_num_procedures"), col("num_procedures").cast("double")))))
+    agg = (long.filter(F.col("category").isNotNull()).groupBy("profile", "category")
+           .agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("m")))
+    value = F.when(F.col("profile") == "mean", F.col("m")).otherwise(F.col("n").cast("double"))
+    return agg.select("profile", "category", r6(value).alias("value"))
 
 
 # ------------------------------------------------------------- B7-B9 ------
@@ -239,7 +239,8 @@ def what_if_grid(sweep: DataFrame, readmission_costs=GRID_READMISSION_COST,
 
 
 # ------------------------------------------------------------- B12, B13 ---
-def top_fraction_capture(scored: DataFrame, percents: Sequence[int] = TOP_PERCENTS) -> DataFrame:
+def top_fraction_capture(scored: DataFrame, percents: Sequence[int] = TOP_PERCENTS,
+                         with_total: bool = False) -> DataFrame:
     """Flag the top p % by score and report the share of positives caught.
 
     The boundary is the score of the ceil(p% * n)-th ranked row; every row
@@ -262,7 +263,8 @@ def top_fraction_capture(scored: DataFrame, percents: Sequence[int] = TOP_PERCEN
         F.col("cum_pos").cast("bigint").alias("readmissions_captured"),
         r6(safe_div(F.col("cum_pos"), F.col("pos_total"))).alias("capture_rate"),
         r6(safe_div(safe_div(F.col("cum_pos"), F.col("pos_total")), safe_div(F.col("cum_n"), total)))
-        .alias("lift"))
+        .alias("lift"),
+        *([total.cast("bigint").alias("n_total")] if with_total else []))
 
 
 def size_benefits(scored: DataFrame, percent: int = FLAG_PERCENT,
@@ -272,12 +274,8 @@ def size_benefits(scored: DataFrame, percent: int = FLAG_PERCENT,
                   effectiveness: float = EFFECTIVENESS) -> DataFrame:
     """Benefit by population size when the top ``percent`` % are flagged,
     using the observed flagged share and captured positives per patient."""
-    cap = top_fraction_capture(scored, [percent])
-    g = scored.agg(F.count(F.lit(1)).alias("n"))
-    one = (cap.select("patients_flagged", "readmissions_captured", F.lit(None).cast("bigint").alias("n"))
-           .unionByName(g.select(F.lit(None).cast("bigint").alias("patients_flagged"),
-                                 F.lit(None).cast("bigint").alias("readmissions_captured"), "n"))
-           .agg(*[F.max(c).alias(c) for c in ("patients_flagged", "readmissions_captured", "n")]))
+    cap = top_fraction_capture(scored, [percent], with_total=True)
+    one = cap.select("patients_flagged", "readmissions_captured", F.col("n_total").alias("n"))
     arr = F.array(*[F.struct(F.lit(n).alias("hospital"), F.lit(s).alias("annual_patients"))
                     for n, s in sizes])
     flagged = F.col("annual_patients") * F.col("patients_flagged") / F.col("n")
