@@ -27,3 +27,27 @@ oracle("t1_class_weights", with_tables(
     "MAX(CASE WHEN label = 1 THEN n_c END) OVER (), 6) AS neg_pos_ratio "
     "FROM (SELECT readmitted_30d AS label, COUNT(*) AS n_c FROM split WHERE split = 'train' GROUP BY 1) t",
     "fea", [SPLIT]))
+
+# Vector slot names -- numeric features, then each categorical column's
+# distinct training values in sorted order, then the passthrough flags.
+from ..schema import BINARY_FEATURES, CATEGORICAL_FEATURES, MED_USED_FEATURES, NUMERIC_FEATURES  # noqa: E402
+from .oracle_base import lit, q  # noqa: E402
+
+_TEXT_BINARY = ["diabetesMed", "change"]
+_CATS = CATEGORICAL_FEATURES + _TEXT_BINARY
+_PASS = [c for c in BINARY_FEATURES if c not in _TEXT_BINARY] + MED_USED_FEATURES
+_cat_rows = "\nUNION ALL ".join(
+    f"SELECT {g} AS g, {lit(c)} AS c, CAST({q(c)} AS VARCHAR) AS v FROM tr WHERE {q(c)} IS NOT NULL GROUP BY {q(c)}"
+    for g, c in enumerate(_CATS))
+_num_values = ", ".join(f"({i}, {lit(c)})" for i, c in enumerate(NUMERIC_FEATURES))
+_pass_values = ", ".join(f"({i}, {lit(c)})" for i, c in enumerate(_PASS))
+oracle("m10_feature_names", with_tables(
+    "SELECT CAST(idx AS INTEGER) AS idx, feature FROM ("
+    "SELECT i AS idx, name AS feature FROM nums "
+    f"UNION ALL SELECT {len(NUMERIC_FEATURES)} + ROW_NUMBER() OVER (ORDER BY g, v) - 1, c || '_' || v FROM cats "
+    f"UNION ALL SELECT {len(NUMERIC_FEATURES)} + (SELECT COUNT(*) FROM cats) + i, name FROM pass) t",
+    "fea", [SPLIT,
+            "tr AS (SELECT fea.* FROM fea JOIN split USING (encounter_id) WHERE split.split = 'train')",
+            f"cats AS ({_cat_rows})",
+            f"nums(i, name) AS (VALUES {_num_values})",
+            f"pass(i, name) AS (VALUES {_pass_values})"]))
