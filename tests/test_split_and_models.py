@@ -183,3 +183,26 @@ def test_forest_knn_exact_in_one_group_and_bounded_in_many(spark):
         by.setdefault(r.vid, []).append(r)
         assert r.dist == pytest.approx(float(np.sqrt(((pts[r.vid] - pts[r.nid]) ** 2).sum())), abs=1e-9)
     assert len(by) == 200 and all(len(v) == 5 for v in by.values())
+
+
+def test_score_patients_from_partial_inputs(spark):
+    from carestat.operators import prepare as M
+    from carestat.operators.score import score_patients
+    from carestat.plans import tables
+    from carestat.sources.codes import code_dimension
+    from conftest import SF_SMALL
+    fea = tables.featured(spark, SF_SMALL)
+    split = M.stratified_split(fea)
+    prep = M.fit_preparation(split.filter("split = 'train'"))
+    matrix = prep.transform(split).select(F.col("readmitted_30d").alias("label"), "split", "features")
+    factory, scheme, _ = T.model_suite({"max_iter": 20})["Logistic Regression"]
+    model = T.fit(matrix.filter("split = 'train'"), factory, scheme)
+    patients = spark.createDataFrame(
+        [(1, "[70-80)", "Male", 5, 12, 1, 40, 7, ">8", "Up"),
+         (2, "[20-30)", "Female", 1, 3, 0, 10, 2, "Norm", "No")],
+        "encounter_id long, age string, gender string, time_in_hospital int, num_medications int, "
+        "num_procedures int, num_lab_procedures int, number_diagnoses int, A1Cresult string, "
+        "insulin string")
+    out = score_patients(patients, prep, model, code_dimension(spark)).collect()
+    assert len(out) == 2
+    assert all(0.0 <= r.risk_score <= 1.0 and r.risk_tier in ("Low", "Moderate", "High") for r in out)
