@@ -189,3 +189,16 @@ def test_column_counts(spark):
     assert len(cleaned.columns) == len(raw.columns) + 65 - 3
     assert len(featured.columns) == len(cleaned.columns) + 15
     assert len(set(featured.columns)) == len(featured.columns)
+
+
+def test_band_and_lift_with_empty_groups(spark):
+    df = spark.createDataFrame(
+        [(2, 3, 1, "[70-80)", 0, 1), (9, 20, 9, "[20-30)", 0, 0)],
+        "time_in_hospital int, num_medications int, number_diagnoses int, age string, "
+        "circulatory_respiratory_comorbidity int, readmitted_30d int")
+    bands = {r.band: (r["count"], r.readmission_rate) for r in P.band_comparisons(df).collect()}
+    assert bands["stay_gt7"] == (1, 0.0) and bands["stay_lt3"] == (1, 100.0)
+    assert bands["meds_lt5"] == (1, 100.0) and bands["dx_8plus"] == (1, 0.0)
+    lift = P.comorbidity_lift(df).first()
+    assert lift.n_comorbid == 0 and lift.comorbid_rate is None and lift.lift is None
+    assert lift.overall_rate == 0.5
