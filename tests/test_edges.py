@@ -202,3 +202,16 @@ def test_band_and_lift_with_empty_groups(spark):
     lift = P.comorbidity_lift(df).first()
     assert lift.n_comorbid == 0 and lift.comorbid_rate is None and lift.lift is None
     assert lift.overall_rate == 0.5
+
+
+def test_class_report_on_golden_confusion(spark):
+    rep = {r["class"]: r for r in E.class_report(_golden(spark)).collect()}
+    tp, fp, fn, tn = 24, 23, 2247, 18060
+    p0, r0 = tn / (tn + fn), tn / (tn + fp)
+    p1, r1 = tp / (tp + fp), tp / (tp + fn)
+    f0, f1 = 2 * p0 * r0 / (p0 + r0), 2 * p1 * r1 / (p1 + r1)
+    assert rep["0"].precision == pytest.approx(p0, abs=1e-6) and rep["0"].support == tn + fp
+    assert rep["1"].recall == pytest.approx(r1, abs=1e-6) and rep["1"].support == tp + fn
+    assert rep["macro avg"].f1 == pytest.approx((f0 + f1) / 2, abs=1e-6)
+    n = tp + fp + fn + tn
+    assert rep["weighted avg"].precision == pytest.approx((p0 * (tn + fp) + p1 * (tp + fn)) / n, abs=1e-6)
