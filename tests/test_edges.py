@@ -215,3 +215,21 @@ def test_class_report_on_golden_confusion(spark):
     assert rep["macro avg"].f1 == pytest.approx((f0 + f1) / 2, abs=1e-6)
     n = tp + fp + fn + tn
     assert rep["weighted avg"].precision == pytest.approx((p0 * (tn + fp) + p1 * (tp + fn)) / n, abs=1e-6)
+
+
+def test_medication_rate_difference_undefined_cases(spark):
+    df = spark.createDataFrame(
+        [("No", "Up", 1), ("No", "Down", 0), ("No", "Up", 0), ("No", "Steady", 1)],
+        "metformin string, insulin string, readmitted_30d int")
+    out = {r.medication: r for r in P.medication_rate_difference(df, ["metformin", "insulin"]).collect()}
+    assert out["metformin"].used_rate is None and out["metformin"].direction is None
+    assert out["insulin"].no_rate is None and out["insulin"].rate_diff is None
+    # unweighted mean of the used groups: Up 50 %, Down 0 %, Steady 100 % -> 50 %
+    assert out["insulin"].used_rate == 50.0
+
+
+def test_extreme_groups_ties_take_first_category(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("c", 0)], "race string, readmitted_30d int")
+    r = P.extreme_groups(df, ["race"]).first()
+    assert (r.highest_category, r.lowest_category) == ("a", "c")
+    assert r.rate_ratio is None and r.overall_rate == pytest.approx(66.666667, abs=1e-6)
