@@ -233,3 +233,20 @@ def test_extreme_groups_ties_take_first_category(spark):
     r = P.extreme_groups(df, ["race"]).first()
     assert (r.highest_category, r.lowest_category) == ("a", "c")
     assert r.rate_ratio is None and r.overall_rate == pytest.approx(66.666667, abs=1e-6)
+
+
+def test_box_summary_matches_numpy(spark):
+    import numpy as np
+    xs = {"<30": [1, 2, 2, 3, 4, 5, 40], "NO": [10, 11, 12, 13]}
+    rows = [(g, float(x)) for g, v in xs.items() for x in v] + [("NO", None)]
+    df = spark.createDataFrame(rows, "readmitted string, num_procedures double")
+    out = {r.group: r for r in P.box_summary(df, ["num_procedures"]).collect()}
+    for g, v in xs.items():
+        a = np.array(v, dtype=float)
+        q1, med, q3 = np.percentile(a, [25, 50, 75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = a[(a >= lo) & (a <= hi)]
+        r = out[g]
+        assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
+        assert (r.whisker_low, r.whisker_high) == (inside.min(), inside.max())
+        assert r.n_outliers == int(((a < lo) | (a > hi)).sum()) and r.n == len(a)
