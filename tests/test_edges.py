@@ -250,3 +250,30 @@ def test_box_summary_matches_numpy(spark):
         assert (r.q1, r.median, r.q3) == pytest.approx((q1, med, q3))
         assert (r.whisker_low, r.whisker_high) == (inside.min(), inside.max())
         assert r.n_outliers == int(((a < lo) | (a > hi)).sum()) and r.n == len(a)
+
+
+def test_hot_customer_history_is_day_bounded_and_exact(spark):
+    import datetime as dt
+
+    import pandas as pd
+    from carestat.sources.fixture import customer_days
+    base = dt.date(1995, 1, 1)
+    rows = []
+    for o in range(1, 301):
+        cust = 1 if o % 3 == 0 else 2 + o % 40           # customer 1 holds a third
+        day = base + dt.timedelta(days=(o * 7) % 400)
+        rows.append((o, cust, "OPF"[o % 3], day))
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, day date")
+    customer = spark.createDataFrame([(c, 0, "BUILDING") for c in range(1, 50)],
+                                     "c_custkey long, c_nationkey int, c_mktsegment string")
+    days = customer_days(orders, customer)
+    hot = days.filter("o_custkey = 1").count()
+    assert hot == len({r[3] for r in rows if r[1] == 1})   # one row per day, not per order
+    got = {(r.o_custkey, r.day): r for r in days.collect()}
+    pdf = pd.DataFrame(rows, columns=["o", "c", "s", "d"])
+    for (c, d), r in got.items():
+        prev = pdf[(pdf.c == c) & (pdf.d < d) & (pdf.d >= d - dt.timedelta(days=365))]
+        assert r.number_outpatient == int((prev.s == "O").sum())
+        assert r.number_inpatient == int((prev.s == "F").sum())
+        later = pdf[(pdf.c == c) & (pdf.d > d)].d
+        assert r.next_day == (later.min() if len(later) else None)
