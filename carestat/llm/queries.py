@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carestat.llm import lang_id, mixing, ngram_jaccard
+import public_tokenizers
+
+from carestat.llm import bottom_k, bpe, lang_id, licenses, mixing, ngram_jaccard
 from carestat.llm.common import table
 
 
@@ -13,6 +15,14 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom_k.fingerprints(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.ngram_components(spark, table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -21,9 +31,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_bpe": op2_bpe,
+    "op5_bottom_k": op5_bottom_k,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLE: dict[str, str] = {}
