@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from carestat.llm import bottom_k, bpe, lang_id, licenses, mixing, ngram_jaccard
+from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard, passages, quality
 from carestat.llm.common import table
 
 
@@ -19,10 +19,29 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(spark, pages, html_text.train(pages))
+
+
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom_k.fingerprints(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark, table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, quality.label_grades(table(spark, sf_dir, "labels")), 3)
+    return quality.grade(spark, docs, model, keep_from=2)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.ngram_components(spark, table(spark, sf_dir, "documents"), k=4, percent=85)
 
@@ -38,7 +57,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_html_text": op3_html_text,
+    "op4_passages": op4_passages,
     "op5_bottom_k": op5_bottom_k,
+    "op6_cross_polytope": op6_cross_polytope,
+    "op7_quality": op7_quality,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
