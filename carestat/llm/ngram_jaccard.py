@@ -15,10 +15,14 @@ indexed. Each band has ``slack`` further credits to make up for them; the few
 sets that lose more than that are met under one key of their own.
 
 Every candidate is verified on the exact sets. A bucket of documents that
-share a key is compared with its smallest member first; members that end in
-different components are then compared with one another, unless the triangle
-inequality on Jaccard distance already rules a link out. Hence no pair within
-a group of copies is expanded, and no link between components is lost.
+share a key is compared with its smallest member first. Members that end in
+different components then face one another, but only pairs that can still
+link: sets with too many elements that no other open set has are left out,
+and of two sets that first met the same set (their star) only those that
+share an element which the star has not, or whose differences from the star
+are small enough without one. So no
+pair within a group of copies is expanded, and no link between components is
+lost.
 
 Defined cases: null or empty text is the empty set and links with nothing; a
 text with fewer than k words is one shingle; a null id gets a null component;
@@ -149,30 +153,67 @@ def index_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
     return thin.mapInArrow(run, "sig long, doc long, others array<long>")
 
 
+def _paired_sets(b: pa.RecordBatch, k: int, state: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, set of ta, set of tb); rows come sorted by the second id, whose text is
+    hashed once per run of rows."""
+    ids = b.column(1).to_numpy(zero_copy_only=False)
+    heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
+    own = {int(heads[i]): shingles(w, k) for i, w, *_ in documents_words(b.take(pa.array(heads)), "tb", SPACED)}
+    for i, w, *_ in documents_words(b, "ta", SPACED):
+        state["set"] = own.get(i, state.get("set"))
+        yield i, shingles(w, k), state["set"]
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame, a: str, b: str) -> DataFrame:
+    ta = texts.select(F.col("doc").alias(a), F.col("text").alias("ta"))
+    tb = texts.select(F.col("doc").alias(b), F.col("text").alias("tb"))
+    return pairs.select(a, b).join(ta.hint("merge"), a).join(tb.hint("merge"), b).select(a, b, "ta", "tb")
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(a, b, both, na, nb): exact sizes of the sets of each pair and of their intersection."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_id, last = None, None
+        state: dict = {}
         for b in batches:
-            ids = b.column(1).to_numpy(zero_copy_only=False)
-            n = b.num_rows
-            both, na, nb = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
-            left = [shingles(w, k) for _, w, *_ in documents_words(b, "ta", SPACED)]
-            # rows come sorted by b, so its text is hashed once per run of rows
-            first = np.r_[True, ids[1:] != ids[:-1]] if n else np.zeros(0, bool)
-            heads = np.flatnonzero(first)
-            own = {int(heads[i]): shingles(w, k)
-                   for i, w, *_ in documents_words(b.take(pa.array(heads)), "tb", SPACED)}
-            for i in range(n):
-                last = own.get(i, last)
-                na[i], nb[i] = len(left[i]), len(last)
-                both[i] = len(np.intersect1d(left[i], last, assume_unique=True))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(both), pa.array(na), pa.array(nb)],
-                                             names=["a", "b", "both", "na", "nb"])
-    ta = texts.select(F.col("doc").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("doc").alias("b"), F.col("text").alias("tb"))
-    wide = pairs.select("a", "b").join(ta.hint("merge"), "a").join(tb.hint("merge"), "b").select("a", "b", "ta", "tb")
-    return wide.mapInArrow(run, "a long, b long, both long, na long, nb long")
+            size = np.zeros((3, b.num_rows), np.int64)
+            for i, x, y in _paired_sets(b, k, state):
+                size[:, i] = len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, size)], names=["a", "b", "both", "na", "nb"])
+    return _with_texts(pairs, texts, "a", "b").mapInArrow(run, "a long, b long, both long, na long, nb long")
+
+
+def own_elements(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """(class, rep_class, e): elements of each class's set that the set of rep_class has not."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict = {}
+        for b in batches:
+            found = [np.setdiff1d(x, y, assume_unique=True) for _, x, y in _paired_sets(b, k, state)]
+            at = np.repeat(np.arange(b.num_rows), [len(f) for f in found])
+            e = np.concatenate(found) if found else np.zeros(0, _U)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(signed(e))],
+                                             names=["class", "rep_class", "e"])
+    return _with_texts(pairs, texts, "class", "rep_class").mapInArrow(run, "class long, rep_class long, e long")
+
+
+def unique_elements(texts: DataFrame, k: int, share: int) -> DataFrame:
+    """(class, u): how many elements of each set none of the other given sets has,
+    counted in one ``share``-th of the universe."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            for lo in range(0, b.num_rows, 1_000):
+                part = b.slice(lo, 1_000)
+                own = [(i, s[s % _U(share) == 0]) for i, w, *_ in documents_words(part, "text", SPACED) for s in [shingles(w, k)]]
+                h = np.concatenate([s for _, s in own])
+                doc = np.repeat(ids[lo:lo + 1_000], [len(s) for _, s in own])
+                order = np.lexsort((doc, h))
+                h, doc = h[order], doc[order]
+                at = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+                last = np.r_[at[1:], len(h)][:len(at)] - 1
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h[at])), pa.array(doc[at]), pa.array(doc[last])], names=["h", "lo", "hi"])
+    rows = texts.select("doc", "text").mapInArrow(run, "h long, lo long, hi long")
+    alone = rows.groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo = hi")
+    return alone.groupBy(F.col("lo").alias("class")).agg(F.count("*").alias("u"))
 
 
 def ngram_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -222,18 +263,46 @@ def ngram_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
         # buckets whose members fell into several components: members other than the smallest meet one another
         named = (member.join(comps.select(F.col("node").alias("class"), "comp"), "class", "left")
                  .select("doc", "class", F.coalesce("comp", "class").alias("comp")))
-        far = checked.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("d"))
         open_ = (buckets.join(named, "doc")
                  .join(member.select(F.col("doc").alias("rep"), F.col("class").alias("rep_class")), "rep")
-                 .select("sig", "class", "comp", F.greatest("class", "rep_class").alias("a"), F.least("class", "rep_class").alias("b"))
-                 .join(far, ["a", "b"], "left").select("sig", "class", "comp", F.coalesce("d", F.lit(0.0)).alias("d")).distinct())
+                 .select("sig", "class", "comp", "rep_class", F.greatest("class", "rep_class").alias("a"), F.least("class", "rep_class").alias("b"))
+                 .join(checked.select("a", "b", "both"), ["a", "b"], "left").select("sig", "class", "comp", "rep_class", "both").distinct())
         mixed = open_.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
         open_ = scratch.put(open_.join(mixed, "sig"), "open")
-        other = open_.select("sig", F.col("class").alias("class2"), F.col("comp").alias("comp2"), F.col("d").alias("d2"))
-        cross = (open_.join(other, "sig").where("comp < comp2")
-                 .where(F.abs(F.col("d") - F.col("d2")) <= 1 - percent / 100 + 1e-9)
-                 .select(F.greatest("class", "class2").alias("a"), F.least("class", "class2").alias("b")).distinct()
-                 .join(checked.select("a", "b"), ["a", "b"], "left_anti"))
+        # elements that no other of these sets has: first in a quarter of the universe, which
+        # rules most unrelated sets out, then in all of it
+        size_of = classes.select("class", F.col("n").cast("long").alias("n"))
+        left = open_.select("class").distinct()
+        texts = scratch.spark.read.schema("doc long, text string").parquet(f"{scratch.base}/first-texts")
+        for share in (4, 1):
+            own = scratch.put(unique_elements(keep_ids(texts, left.select(F.col("class").alias("doc")), "doc"), k, share), f"unique-{share}")
+            left = scratch.put(left.join(own, "class", "left").join(size_of, "class").select("class", "n", F.coalesce("u", F.lit(0)).alias("u"))
+                               .where(f"100 * u <= {100 - percent} * n"), f"left-{share}").select("class", "n", "u")
+            if share > 1:
+                left = left.select("class")
+        # star: the smallest class that a class met first; own and miss: elements that only the class, only the star has
+        star = open_.groupBy("class").agg(F.min(F.struct("rep_class", "both")).alias("s")).select("class", F.col("s.rep_class").alias("star"), "s.both")
+        itself = F.col("class") == F.col("star")
+        left = scratch.put(left.join(star, "class").join(size_of.select(F.col("class").alias("star"), F.col("n").alias("star_n")), "star")
+                           .select("class", "n", "u", "star", F.when(itself, 0).otherwise(F.col("n") - F.col("both")).alias("own"),
+                                   F.when(itself, 0).otherwise(F.col("star_n") - F.col("both")).alias("miss")), "left")
+        comp_of = open_.select("class", "comp").distinct()
+        open_ = scratch.put(open_.select("sig", "class", "comp").join(left, "class"), "open-left")
+
+        def facing(rows: DataFrame, key: list[str], least: str) -> DataFrame:
+            """Pairs of classes under a key, in different components, of sizes that can
+            link and with ``least`` a lower bound of their difference."""
+            other = rows.select(*key, *[F.col(c).alias(f"{c}2") for c in rows.columns if c not in key])
+            met = (rows.join(other, key).where("comp < comp2").where(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
+                   .where(f"{100 + percent} * ({least}) <= {100 - percent} * (n + n2)"))
+            return met.select(F.greatest("class", "class2").alias("a"), F.least("class", "class2").alias("b")).distinct()
+
+        # under one star a pair either differs in all its own elements or shares one of them
+        apart = facing(open_, ["sig"], "u + u2 + if(star = star2, own - u + own2 - u2 + abs(miss - miss2), 0)")
+        elements = scratch.put(own_elements(left.where("class <> star").select("class", F.col("star").alias("rep_class")), texts, k), "own-elements")
+        rest = elements.select("class", "e").join(left, "class").join(comp_of, "class")
+        sharing = facing(rest, ["star", "e"], "u + u2 + abs(miss - miss2)")
+        cross = apart.unionByName(sharing).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
         cross = scratch.put(cross, "cross")
         more = verify(cross, "second")
         edges_ = checked.where(linked).select("a", "b").unionByName(more.where(linked).select("a", "b"))
