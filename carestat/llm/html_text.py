@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carestat.llm.common import keep_ids
@@ -351,12 +351,11 @@ def extract(spark: SparkSession, pages: DataFrame, model: Chain, html_col: str =
     shared = spark.sparkContext.broadcast((model.weights, model.steps, model.start))
     kept = [f for f in pages.schema.fields if f.name in keep]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = Chain(*shared.value)
-        for pdf in batches:
-            text = [chain.text(t) if isinstance(t, str) else "" for t in pdf["_html"]]
-            out = pdf.drop(columns="_html")
-            out["text"], out["n_chars"] = text, [len(t) for t in text]
-            yield out
+        for b in batches:
+            text = [chain.text(t) for t in b.column(len(kept)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(kept))] + [pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
+                                             names=[f.name for f in kept] + ["text", "n_chars"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", text string, n_chars long"
-    return pages.select(*[f.name for f in kept], F.col(html_col).cast("string").alias("_html")).mapInPandas(run, schema)
+    return pages.select(*[f.name for f in kept], F.col(html_col).cast("string").alias("_html")).mapInArrow(run, schema)

@@ -26,7 +26,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
 from carestat.llm.common import keep_ids
@@ -92,40 +92,43 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: f
 
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_learn, per_lang: int) -> DataFrame:
     """(lang, text) of up to ``per_lang`` documents of each language, first by a hash of the id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), "doc")
+    order = F.xxhash64("doc"), F.col("doc")
+    dealt = Window.partitionBy("lang", "salt").orderBy(*order)  # a language may hold most rows
     thin = docs.where(may_learn).select(F.col(id_col).alias("doc"), F.col(lang_col).alias("lang")).where("lang is not null and doc is not null").distinct()
-    ids = (thin.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
+    thin = thin.withColumn("salt", F.pmod(F.xxhash64("doc", F.lit(1)), F.lit(256))).withColumn("r", F.row_number().over(dealt)).where(F.col("r") <= per_lang)
+    ids = (thin.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= per_lang)
            .orderBy("r", "lang").limit(MAX_LANGS * per_lang).select("doc").distinct())
     found = docs.where(may_learn).select(F.col(id_col).alias("doc"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     return keep_ids(found, ids, "doc").where("lang is not null and text is not null")
 
 
-def predict(spark: SparkSession, docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """``docs`` without its text column but with lang_pred and score."""
+def predict(spark: SparkSession, docs: DataFrame, model, text_col: str = "text",
+            names_out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` without its text column but with the predicted language and its score."""
     names, weights = model
     shared = spark.sparkContext.broadcast((names, weights.astype(np.float32)))
     rest = [f for f in docs.schema.fields if f.name != text_col]
     letter = re.compile(r"[^\W\d_]")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, weights = shared.value
         work = np.zeros(DIM, bool)
-        for pdf in batches:
-            score = np.zeros((len(pdf), max(1, len(names))))
-            known = np.zeros(len(pdf), bool)
-            for i, text in enumerate(pdf["_text"]):
-                if names and isinstance(text, str) and letter.search(text):
+        for b in batches:
+            score = np.zeros((b.num_rows, max(1, len(names))))
+            known = np.zeros(b.num_rows, bool)
+            for i, text in enumerate(b.column(len(rest)).to_pylist()):
+                if names and text and letter.search(text):
                     slots = presence(text, work)
                     score[i, :len(names)] = weights[slots].sum(0) / np.sqrt(len(slots))
                     known[i] = True
             best = score.argmax(1)
-            out = pdf.drop(columns="_text")
-            out["lang_pred"] = [names[b] if k else "und" for b, k in zip(best, known)]
-            out["score"] = np.where(known, np.clip(score[np.arange(len(pdf)), best], 0, 1), 0.0)
-            yield out
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + ["lang_pred string", "score double"])
+            lang = [names[j] if k else "und" for j, k in zip(best, known)]
+            value = np.where(known, np.clip(score[np.arange(len(best)), best], 0, 1), 0.0)
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(rest))] + [pa.array(lang, pa.string()), pa.array(value)], names=out)
+    out = [f.name for f in rest] + list(names_out)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + [f"`{names_out[0]}` string", f"`{names_out[1]}` double"])
     wide = docs.select(*[F.col(f"`{f.name}`") for f in rest], F.col(text_col).cast("string").alias("_text"))
-    return wide.mapInPandas(run, schema)
+    return wide.mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -151,4 +154,5 @@ def keep_identified(spark: SparkSession, docs: DataFrame, least_score: float = 0
     """``docs`` without documents of no language (``und``) or of a score under ``least_score``."""
     model = train(docs, ~F.coalesce(held_out("doc_id"), F.lit(False)))
     both = docs.select("*", F.col("text").alias("_body"))
-    return predict(spark, both, model, "_body").where(f"lang_pred <> 'und' and score >= {least_score}").select(*docs.columns)
+    known = predict(spark, both, model, "_body", ("_lang", "_lang_score"))
+    return known.where(f"_lang <> 'und' and _lang_score >= {least_score}").select(*docs.columns)

@@ -75,42 +75,48 @@ def source_targets(counts: DataFrame, scratch: Scratch, max_copies: float = 3.0)
 
 
 def _pivot(mass: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Round masses in 0..size by pairs; at most one stays strictly between.
-
-    The largest open document draws a direction, fair for what its smaller
-    partners can give or take, and moves mass against them one by one, each
-    pair until one of the two is integral. So what stays open is small.
+    """Round masses in 0..size; at most one stays strictly between, and every
+    mass keeps its expectation.
+
+    From the largest on, a document is paired with all smaller open ones at
+    once: it rises to its size or falls to 0, with the chances that keep its
+    expectation, and each partner takes up a fixed share of the move. Shares
+    follow w (s - w) / s, so a move of up to their sum V leaves every partner
+    within 0..s. Documents whose move would exceed V are then paired one by
+    one. So what stays open in the end is small.
     """
     order = rng.permutation(len(mass))
     order = order[np.argsort(-size[order], kind="stable")]
-    w, s, draws = mass[order].tolist(), size[order].tolist(), rng.random(len(mass)).tolist()
-    for j in range(len(w)):
-        w[j] = 0.0 if w[j] <= 1e-9 * s[j] else s[j] if w[j] >= s[j] * (1 - 1e-9) else w[j]
-    give = sum(x for x, y in zip(w, s) if 0 < x < y)
-    room = sum(y - x for x, y in zip(w, s) if 0 < x < y)
-    j = 0
+    w, s, draws = mass[order].astype(float), size[order].astype(float), rng.random((2, len(mass)))
+
+    def settle(x: float, y: float) -> float:
+        return 0.0 if x <= 1e-9 * y else y if x >= y * (1 - 1e-9) else x
+
+    late = []
     for i in range(len(w)):
+        w[i] = settle(w[i], s[i])
         if not 0 < w[i] < s[i]:
             continue
-        give, room = max(0.0, give - w[i]), max(0.0, room - (s[i] - w[i]))
-        up, down = min(s[i] - w[i], give), min(w[i], room)
-        if up + down <= 1e-9 * s[i]:
+        rest, full = w[i + 1:], s[i + 1:]
+        share = rest * (full - rest) / np.maximum(full, 1e-300)
+        total = share.sum()
+        if max(w[i], s[i] - w[i]) > total:
+            late.append(i)
+            continue
+        rise = draws[0, i] * s[i] < w[i]
+        move = s[i] - w[i] if rise else -w[i]
+        rest -= share * (move / total)
+        w[i] = s[i] if rise else 0.0
+    held = -1
+    for j in late:
+        w[j] = settle(w[j], s[j])
+        if not 0 < w[j] < s[j]:
             continue
-        rise = draws[i] * (up + down) < down
-        left, j = up if rise else down, max(j, i + 1)
-        w[i] += left if rise else -left
-        while left > 0 and j < len(w):
-            if 0 < w[j] < s[j]:
-                most = w[j] if rise else s[j] - w[j]
-                if most > left * (1 + 1e-12):
-                    w[j] += -left if rise else left
-                    give, room = give + (-left if rise else left), room + (left if rise else -left)
-                    break
-                left -= most
-                give, room = give - w[j], room - (s[j] - w[j])
-                w[j] = 0.0 if rise else s[j]
-            j += 1
-        w[i] = 0.0 if w[i] <= 1e-9 * s[i] else s[i] if w[i] >= s[i] * (1 - 1e-9) else w[i]
+        if held >= 0:
+            up, down = min(s[held] - w[held], w[j]), min(w[held], s[j] - w[j])
+            move = up if draws[1, j] * (up + down) < down else -down
+            w[held], w[j] = settle(w[held] + move, s[held]), settle(w[j] - move, s[j])
+        held = next((x for x in (held, j) if x >= 0 and 0 < w[x] < s[x]), -1)
     out = np.empty(len(w))
     out[order] = w
     return out
@@ -170,8 +176,9 @@ def repeat_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """``docs`` with each row as often as the mix takes it (not at all included)."""
     plan = mixed(spark, docs, id_col, text_col, source_col)
     plan = plan.groupBy("doc", "digest").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
+    plan = plan.select(F.col("doc").alias("_plan_doc"), F.col("digest").alias("_plan_digest"), "_copies")
     keyed = docs.withColumn("_digest", row_digest(docs)).withColumn("_doc", F.col(id_col).cast("long"))
     keyed = keyed.dropDuplicates(["_doc", "_digest"])
-    return (keyed.join(plan, F.col("_doc").eqNullSafe(F.col("doc")) & (F.col("_digest") == F.col("digest")))
+    return (keyed.join(plan, F.col("_doc").eqNullSafe(F.col("_plan_doc")) & (F.col("_digest") == F.col("_plan_digest")))
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .select(*[keyed[c] for c in docs.columns]))

@@ -26,12 +26,13 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carestat.llm.common import keep_ids
 
 BITS = 18
-LABELLED = 12_000
+LABELLED = 8_000
 KEEP = 0.5
 SHAPE = 16.0  # value of a shape that all words have; a word present has 1
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -70,18 +71,26 @@ def _sigmoid(x):
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def fit(slots: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, levels: int, ridge: float = 1e-3,
+def fit(slots: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, levels: int, prior: float = 1.0,
         steps: int = 250, least_docs: int = 5):
-    """(weights, thresholds) of the most likely cumulative-link model, by Adam."""
+    """(weights, thresholds) of the most likely cumulative-link model under a normal
+    prior of precision ``prior`` on each weight, by Adam."""
     n = len(grades)
     w = np.zeros(1 << BITS)
     if not n:
         return w, np.full(levels - 1, -50.0)
-    row, col, val = np.repeat(np.arange(n), [len(s) for s in slots]), np.concatenate(slots), np.concatenate(values)
+    row, col, val = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in slots]), np.concatenate(slots), np.concatenate(values)
     used, col, seen = np.unique(col, return_inverse=True, return_counts=True)
     known = seen >= least_docs  # rarer features only tell single documents apart
     keep, renumber = known[col], np.cumsum(known) - 1
     row, col, val, used = row[keep], renumber[col[keep]], val[keep], used[known]
+    # features are scaled by how much their frequency differs below and above a threshold,
+    # so that the many that tell nothing get little weight
+    scale = np.zeros(len(used))
+    for j in range(levels - 1):
+        rate = [(np.bincount(col[high[row]], minlength=len(used)) + 0.5) / (high.sum() + 1) for high in (grades <= j, grades > j)]
+        scale = np.maximum(scale, np.abs(np.log(rate[0] / rate[1])))
+    val = val * scale[col]
     tail = np.clip([(grades > j).mean() for j in range(levels - 1)], 1e-3, 1 - 1e-3)
     start = -np.log(tail / (1 - tail))
     gaps = np.r_[start[0], np.log(np.maximum(1e-2, np.diff(start)))]
@@ -101,10 +110,10 @@ def fit(slots: list[np.ndarray], values: list[np.ndarray], grades: np.ndarray, l
         np.add.at(d_cut, grades, d_lo / n)
         d_cut = d_cut[1:-1]
         d_gap = np.cumsum(d_cut[::-1])[::-1] * np.r_[1.0, np.exp(g[1:])]
-        grad = np.r_[np.bincount(col, dz[row] * val, len(used)) + ridge * weights, d_gap]
+        grad = np.r_[np.bincount(col, dz[row] * val, len(used)) + prior / n * weights, d_gap]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         p -= 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    w[used] = p[:len(used)]
+    w[used] = p[:len(used)] * scale
     return w, np.cumsum(np.r_[p[len(used)], np.exp(p[len(used) + 1:])])
 
 
@@ -118,9 +127,9 @@ def train(docs: DataFrame, ratings: DataFrame, levels: int, id_col: str = "doc_i
         for pdf in batches:
             f = [features(t) for t in pdf["_text"]]
             yield pd.DataFrame({"id": pdf[id_col], "slots": [a for a, _ in f], "vals": [b for _, b in f]})
-    made = texts.mapInPandas(run, "id long, slots array<long>, vals array<double>")
+    made = texts.mapInPandas(run, "id long, slots array<int>, vals array<float>")
     got = made.join(F.broadcast(rated.select(F.col(id_col).alias("id"), "grade")), "id").toPandas().sort_values("id", ignore_index=True)
-    return fit([np.asarray(s, np.int64) for s in got["slots"]], [np.asarray(v, float) for v in got["vals"]],
+    return fit([np.asarray(s, np.int32) for s in got["slots"]], [np.asarray(v, np.float32) for v in got["vals"]],
                got["grade"].to_numpy(np.int64), levels)
 
 
@@ -129,17 +138,18 @@ def grade(spark: SparkSession, docs: DataFrame, model, keep_from: int, id_col: s
     shared = spark.sparkContext.broadcast(model)
     kind = docs.select(id_col).dtypes[0][1]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, cuts = shared.value
-        for pdf in batches:
-            z = np.zeros(len(pdf))
-            for i, text in enumerate(pdf["_text"]):
-                s, v = features(text if isinstance(text, str) else "")
+        for b in batches:
+            z = np.zeros(b.num_rows)
+            for i, text in enumerate(b.column(1).to_pylist()):
+                s, v = features(text)
                 z[i] = (w[s] * v).sum()
             above = _sigmoid(z[:, None] - cuts[None, :])
             tail = above[:, keep_from - 1]
-            yield pd.DataFrame({id_col: pdf[id_col], "expected_grade": above.sum(1), "tail_probability": tail, "keep": tail >= keep})
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInPandas(
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(above.sum(1)), pa.array(tail), pa.array(tail >= keep)],
+                                             names=[id_col, "expected_grade", "tail_probability", "keep"])
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(
         run, f"`{id_col}` {kind}, expected_grade double, tail_probability double, keep boolean")
 
 
