@@ -42,7 +42,7 @@ from carestat.llm.common import Scratch, components, keep_ids
 from carestat.llm.words import SPACED, documents_words, mix, shingles, signed
 
 _U = np.uint64
-SHARED = 0.2  # assumed share of a set's elements that an unrelated set of its band also has
+SHARED = 0.05  # assumed share of a set's elements that an unrelated set of its band also has
 
 
 def band_edges(percent: int, largest: int) -> list[int]:
@@ -73,7 +73,7 @@ def allocate(percent: int, lo: int, hi: int, sets: int) -> tuple[int, int, int]:
         for _ in range(3):
             size = lo / max(1, dele + whole + slack)
             lost = (whole + slack) * math.exp(-size) + 2 * dele * (1 + size) * math.exp(-size)
-            slack = 0 if dele + whole == 1 else math.ceil(lost + 5 * math.sqrt(lost) + 1)
+            slack = 0 if dele + whole == 1 else math.ceil(lost + 4 * math.sqrt(lost) + 1)
         segments = dele + whole + slack
         size = hi / segments
         cost = (whole + slack + dele * (1 + size)) * (1 + sets * SHARED ** size)
