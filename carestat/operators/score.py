@@ -169,7 +169,7 @@ RAW_DEFAULTS = {
 
 
 def score_patients(patients: DataFrame, prep, model, codes: DataFrame, *,
-                   defaults: dict | None = None, codes_bounded: bool = True) -> DataFrame:
+                   defaults: dict | None = None, codes_bounded: bool = False) -> DataFrame:
     """R1 end to end: raw patient rows (any subset of the raw columns) ->
     cleaning -> features -> fitted preparation -> model -> score and tier."""
     from pyspark.ml.functions import vector_to_array

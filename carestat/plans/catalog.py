@@ -6,6 +6,8 @@ grows with them. Names carry the inventory id they exercise.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -442,7 +444,9 @@ def suite_view(spark, sf_dir):
     def build():
         matrix, _ = matrix_view(spark, sf_dir)
         test = matrix.filter(F.col("split") == "test")
-        fitted = {name: model_view(spark, sf_dir, name) for name in T.MODEL_ORDER}
+        # the fits are independent: their jobs share the cluster
+        with ThreadPoolExecutor(len(T.MODEL_ORDER)) as pool:
+            fitted = dict(zip(T.MODEL_ORDER, pool.map(lambda n: model_view(spark, sf_dir, n), T.MODEL_ORDER)))
         rows = [E.model_metrics(E.scored_view(T.predict(fitted[n], test), "label", "score"), n, 0.5, i)
                 for i, n in enumerate(T.MODEL_ORDER)]
         out = rows[0]

@@ -15,7 +15,7 @@ def read_encounters_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = encounter_schema()
     header = spark.read.option("header", True).csv(path).columns
     known = {f.name: f for f in schema.fields}
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).schema(
         _string_schema(header)).csv(path)
     cols = []
     for c in header:
