@@ -17,16 +17,17 @@ Scale notes
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import col, values_table
+from ..functions.columns import col, r6, values_table
 from ..schema import BINARY_FEATURES, CATEGORICAL_FEATURES, MED_USED_FEATURES, NUMERIC_FEATURES
 
 TARGET = "readmitted_30d"
@@ -150,6 +151,9 @@ def stratified_split(df: DataFrame, *, label: str = TARGET, key: str = "encounte
 
 
 # ---------------------------------------------------------- M4-M10 --------
+STATISTICS = ("numeric", "categorical", "passthrough", "medians", "means", "stds", "modes", "feature_names")
+
+
 @dataclass
 class Preparation:
     """Fitted preparation: train statistics + fitted encoder pipeline."""
@@ -177,6 +181,20 @@ class Preparation:
             exprs[f"__pass_{c}"] = F.coalesce(col(c).cast("double"), F.lit(0.0))
         return self.encoder.transform(df.withColumns(exprs))
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """The statistics and names as one JSON line, the encoder beside them.
+        Python writes a double so that it reads back as the same double."""
+        line = json.dumps({n: getattr(self, n) for n in STATISTICS})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/statistics")
+        self.encoder.write().overwrite().save(f"{path}/encoder")
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Preparation":
+        """The preparation that ``save`` wrote; it transforms as the fitted one."""
+        line = spark.read.text(f"{path}/statistics").first()["value"]
+        return cls(encoder=PipelineModel.load(f"{path}/encoder"), **json.loads(line))
+
 
 def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None) -> Preparation:
     """M4-M10 fitted on the training rows only."""
@@ -235,14 +253,14 @@ def feature_name_table(prep: Preparation, spark) -> DataFrame:
     return values_table(spark, [("idx", "int"), ("feature", "string")], list(enumerate(prep.feature_names)))
 
 
-def model_matrix(featured: DataFrame, *, label: str = TARGET, key: str = "encounter_id",
-                 test_size: float = TEST_SIZE, seed: int = SEED):
-    """Split, fit the preparation on train, transform both.
+def numeric_statistics(prep: Preparation, spark) -> DataFrame:
+    """M4, M5: (feature, median, mean, std) of the training rows; mean and
+    population std are those of the imputed column."""
+    rows = [(c, prep.medians[c], prep.means[c], prep.stds[c]) for c in prep.numeric]
+    df = values_table(spark, [("feature", "string"), ("median", "double"), ("mean", "double"), ("std", "double")], rows)
+    return df.select("feature", *[r6(F.col(c)).alias(c) for c in ("median", "mean", "std")])
 
-    Returns (matrix DataFrame with key, label, split, features; Preparation).
-    """
-    groups = feature_groups(featured, label)
-    split = stratified_split(featured, label=label, key=key, test_size=test_size, seed=seed)
-    prep = fit_preparation(split.filter(F.col("split") == "train"), groups)
-    matrix = prep.transform(split).select(key, col(label).alias("label"), "split", "features")
-    return matrix, prep
+
+def categorical_modes(prep: Preparation, spark) -> DataFrame:
+    """M6: (feature, mode) of the training rows, ties to the smallest text."""
+    return values_table(spark, [("feature", "string"), ("mode", "string")], list(prep.modes.items()))

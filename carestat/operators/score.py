@@ -128,25 +128,6 @@ def tier_population(df: DataFrame, *, tier: str = "risk_tier", label: str = "rea
                       r6(F.col("rate")).alias("actual_rate"), r6(F.col("mean")).alias("mean_score"))
 
 
-def score_with_model(df: DataFrame, model, defaults: dict | None = None,
-                     prob_col: str = "risk_score") -> DataFrame:
-    """Batch scoring of a patient table with a fitted ``PipelineModel``.
-
-    Raw columns absent from the input are filled with defaults (and NULLs
-    with ``na.fill``); derived columns are recomputed from them by the
-    model's own preparation stages, never filled as constants.
-    """
-    from pyspark.ml.functions import vector_to_array
-    defaults = defaults or {}
-    missing = {c: F.lit(v) for c, v in defaults.items() if c not in df.columns}
-    df = df.withColumns(missing) if missing else df
-    present = {c: v for c, v in defaults.items() if c in df.columns}
-    if present:
-        df = df.na.fill(present)
-    out = model.transform(df)
-    return out.withColumn(prob_col, vector_to_array("probability")[1])
-
-
 # --- fixed values: raw defaults for patients scored with partial inputs ----
 # (derived columns are never defaulted; they are recomputed from these)
 RAW_DEFAULTS = {
@@ -168,10 +149,16 @@ RAW_DEFAULTS = {
 }
 
 
+# raw columns without a default: a patient row must bring them
+RAW_REQUIRED = ("age", "gender", "time_in_hospital", "num_medications", "num_lab_procedures",
+                "num_procedures", "number_diagnoses")
+
+
 def score_patients(patients: DataFrame, prep, model, codes: DataFrame, *,
                    defaults: dict | None = None, codes_bounded: bool = False) -> DataFrame:
-    """R1 end to end: raw patient rows (any subset of the raw columns) ->
-    cleaning -> features -> fitted preparation -> model -> score and tier."""
+    """R1 end to end: raw patient rows -> cleaning -> features -> fitted
+    preparation -> model -> score and tier. ``RAW_REQUIRED`` columns must be
+    there; other raw columns may be absent and take their default."""
     from pyspark.ml.functions import vector_to_array
 
     from ..schema import MEDICATIONS
@@ -180,6 +167,9 @@ def score_patients(patients: DataFrame, prep, model, codes: DataFrame, *,
     fill = dict(RAW_DEFAULTS if defaults is None else defaults)
     for m in MEDICATIONS:
         fill.setdefault(m, "No")
+    absent = [c for c in RAW_REQUIRED if c not in patients.columns and c not in fill]
+    if absent:
+        raise ValueError(f"patients lack columns without a default: {', '.join(absent)}")
     missing = {c: F.lit(v) for c, v in fill.items() if c not in patients.columns}
     df = patients.withColumns(missing) if missing else patients
     present = {c: v for c, v in fill.items() if c in patients.columns}

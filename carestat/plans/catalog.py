@@ -462,6 +462,18 @@ def m10_feature_names(spark, sf_dir):
     return M.feature_name_table(prep, spark)
 
 
+@query("m4_m5_numeric_statistics")
+def m4_m5_numeric_statistics(spark, sf_dir):
+    _, prep = matrix_view(spark, sf_dir)
+    return M.numeric_statistics(prep, spark)
+
+
+@query("m6_categorical_modes")
+def m6_categorical_modes(spark, sf_dir):
+    _, prep = matrix_view(spark, sf_dir)
+    return M.categorical_modes(prep, spark)
+
+
 @query("t8_e11_model_comparison")
 def t8_e11_model_comparison(spark, sf_dir):
     rows, _ = suite_view(spark, sf_dir)

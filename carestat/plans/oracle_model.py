@@ -33,6 +33,7 @@ oracle("t1_class_weights", with_tables(
 from ..schema import BINARY_FEATURES, CATEGORICAL_FEATURES, MED_USED_FEATURES, NUMERIC_FEATURES  # noqa: E402
 from .oracle_base import lit, q  # noqa: E402
 
+TRAIN = "tr AS (SELECT fea.* FROM fea JOIN split USING (encounter_id) WHERE split.split = 'train')"
 _TEXT_BINARY = ["diabetesMed", "change"]
 _CATS = CATEGORICAL_FEATURES + _TEXT_BINARY
 _PASS = [c for c in BINARY_FEATURES if c not in _TEXT_BINARY] + MED_USED_FEATURES
@@ -46,8 +47,20 @@ oracle("m10_feature_names", with_tables(
     "SELECT i AS idx, name AS feature FROM nums "
     f"UNION ALL SELECT {len(NUMERIC_FEATURES)} + ROW_NUMBER() OVER (ORDER BY g, v) - 1, c || '_' || v FROM cats "
     f"UNION ALL SELECT {len(NUMERIC_FEATURES)} + (SELECT COUNT(*) FROM cats) + i, name FROM pass) t",
-    "fea", [SPLIT,
-            "tr AS (SELECT fea.* FROM fea JOIN split USING (encounter_id) WHERE split.split = 'train')",
+    "fea", [SPLIT, TRAIN,
             f"cats AS ({_cat_rows})",
             f"nums(i, name) AS (VALUES {_num_values})",
             f"pass(i, name) AS (VALUES {_pass_values})"]))
+
+# M4, M5: train median; mean and population std of the imputed column.
+# M6: most frequent training value, ties to the smallest text.
+oracle("m4_m5_numeric_statistics", with_tables("\nUNION ALL ".join(
+    f"SELECT {lit(c)} AS feature, ROUND(ANY_VALUE(m), 6) AS median, ROUND(AVG(COALESCE(x, m)), 6) AS mean, "
+    "ROUND(STDDEV_POP(COALESCE(x, m)), 6) AS std "
+    f"FROM (SELECT CAST({q(c)} AS DOUBLE) AS x, "
+    f"COALESCE((SELECT MEDIAN(CAST({q(c)} AS DOUBLE)) FROM tr), 0.0) AS m FROM tr) t"
+    for c in NUMERIC_FEATURES), "fea", [SPLIT, TRAIN]))
+oracle("m6_categorical_modes", with_tables("\nUNION ALL ".join(
+    f"SELECT {lit(c)} AS feature, COALESCE((SELECT CAST({q(c)} AS VARCHAR) FROM tr WHERE {q(c)} IS NOT NULL "
+    f"GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1), '') AS mode"
+    for c in _CATS), "fea", [SPLIT, TRAIN]))

@@ -123,6 +123,25 @@ def test_one_hot_unknown_is_all_zero(spark):
     assert rows[1].features.toArray()[0] == 0.0
 
 
+def test_preparation_save_load_transforms_alike(spark, tmp_path):
+    from carestat.operators import prepare as M
+    train = spark.createDataFrame([("a'b", 1.0, 0), ("b", 2.1, 1), ("b", None, 0), (None, 0.3, 1)],
+                                  "gender string, time_in_hospital double, readmitted_30d int")
+    groups = {"categorical": ["gender"], "numeric": ["time_in_hospital"], "binary": [], "medication": []}
+    prep = M.fit_preparation(train, groups)
+    prep.save(spark, str(tmp_path / "prep"))
+    again = M.Preparation.load(spark, str(tmp_path / "prep"))
+    assert all(getattr(again, n) == getattr(prep, n) for n in M.STATISTICS)
+    rows = [[r.features.toArray().tolist() for r in p.transform(train).collect()] for p in (prep, again)]
+    assert rows[0] == rows[1]
+
+
+def test_scoring_names_missing_required_columns(spark):
+    from carestat.operators.score import score_patients
+    with pytest.raises(ValueError, match="age, gender"):
+        score_patients(spark.range(1), None, None, None)
+
+
 def test_exact_knn_batches_match_brute_force(spark, monkeypatch):
     import numpy as np
     from carestat.operators import smote as SM
