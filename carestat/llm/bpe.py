@@ -31,8 +31,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-CACHE_PIECES = 400_000  # encoded pieces and judged pairs kept by a Python worker
-SUB_CHARS = 1 << 20  # characters split together; a longer text is split alone
+CACHE_PIECES = 200_000  # encoded pieces kept by a Python worker, and twice as many judged pairs
+SUB_CHARS = 1 << 18  # characters split together; a longer text is split alone
+SUB_BYTES = 2 << 20  # bytes of text taken out of an Arrow batch together; a longer text is taken alone
 _models: dict[str, "Ranks"] = {}
 
 
@@ -303,31 +304,44 @@ def decode(ranks: Ranks, ids: np.ndarray) -> bytes:
     return ranks.blob[at].tobytes()
 
 
+def slices(texts: pa.Array, most: int = SUB_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of as many whole texts at a time as hold ``most`` bytes."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, done = 0, 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield at, texts.slice(at, to - at)
+        at, done = to, ends[to - 1]
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encode and decode each text: id, n_tokens, ids_sha256, decoded_sha256 (and ids)."""
+    def coded(ranks: Ranks, ids_in: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        count, digest, plain, all_ids = [], [], [], []
+        for counts, raw in encode_texts(ranks, texts.to_pylist()):
+            ids = np.frombuffer(raw, "<u4").astype(np.int64)
+            bytes_ = decode(ranks, ids)
+            ends = np.cumsum(counts)
+            at = np.r_[0, np.cumsum(ranks.sizes[ids])][np.r_[0, ends]].tolist()
+            lo = 0
+            for i, hi in enumerate(ends.tolist()):
+                digest.append(hashlib.sha256(raw[4 * lo:4 * hi]).hexdigest())
+                plain.append(hashlib.sha256(bytes_[at[i]:at[i + 1]]).hexdigest())
+                lo = hi
+            count += counts
+            if with_ids:
+                all_ids.append(pa.array(ids.astype(np.int32)))
+        cols = [ids_in, pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(plain, pa.string())]
+        if with_ids:
+            cols.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), pa.concat_arrays(all_ids)))
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = model(path)
         for b in batches:
-            texts = pc.fill_null(b.column(1), "").to_pylist()
-            count, digest, plain, all_ids = [], [], [], []
-            for counts, raw in encode_texts(ranks, texts):
-                ids = np.frombuffer(raw, "<u4").astype(np.int64)
-                bytes_ = decode(ranks, ids)
-                ends = np.cumsum(counts)
-                at = np.r_[0, np.cumsum(ranks.sizes[ids])][np.r_[0, ends]].tolist()
-                lo = 0
-                for i, hi in enumerate(ends.tolist()):
-                    digest.append(hashlib.sha256(raw[4 * lo:4 * hi]).hexdigest())
-                    plain.append(hashlib.sha256(bytes_[at[i]:at[i + 1]]).hexdigest())
-                    lo = hi
-                count += counts
-                if with_ids:
-                    all_ids.append(pa.array(ids.astype(np.int32)))
-            cols = [b.column(0), pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(plain, pa.string())]
-            if with_ids:
-                flat = pa.concat_arrays(all_ids) if all_ids else pa.array([], pa.int32())
-                cols.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)].astype(np.int32)), flat))
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            for at, part in slices(pc.fill_null(b.column(1), "")):
+                yield coded(ranks, b.column(0).slice(at, len(part)), part)
+            pa.default_memory_pool().release_unused()  # two workers share an executor with the JVM
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     kind = docs.select(F.col(id_col)).dtypes[0][1]
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -218,6 +219,14 @@ def test_bpe_equals_library(spark, edge, docs):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_bpe_slices_hold_whole_texts():
+    texts = pa.array(["", "ab", "x" * 50, "é" * 4, "", "c"])
+    parts = list(bpe.slices(texts, 10))
+    assert [at for at, _ in parts] == [0, 2, 3]
+    assert [t for _, part in parts for t in part.to_pylist()] == texts.to_pylist()
+    assert list(bpe.slices(texts[:0])) == []
+
+
 def test_bpe_append_and_edit():
     ranks, rng = bpe.model(RANKS), random.Random(6)
     for _ in range(150):
