@@ -30,19 +30,26 @@ BOX_COLUMNS = ["num_lab_procedures", "num_procedures", "num_medications", "numbe
 USED_STATUSES = ["Steady", "Up", "Down"]
 TREND_CUTOFF = 0.05
 
-# Left-closed bins of the clinical numeric columns: (variable, edges, labels).
-# An open last bin is written with an infinite upper edge.
+# Lower edges of the left-closed bins of the clinical numeric columns; the last bin is open.
+CLINICAL_EDGES = {
+    "time_in_hospital": [0, 3, 6, 9, 12, 15, 18, 21, 24, 27],
+    "num_lab_procedures": [0, 20, 40, 60, 80, 100],
+    "num_procedures": [0, 1, 2, 3, 4, 5, 6],
+    "num_medications": [0, 5, 10, 15, 20, 25],
+    "number_diagnoses": [0, 1, 2, 3, 4, 5, 6, 7, 8, 9],
+}
 INF = float("inf")
-CLINICAL_BINS = [
-    ("time_in_hospital", list(range(0, 31, 3)), [f"{i}-{i + 2}" for i in range(0, 28, 3)]),
-    ("num_lab_procedures", [0, 20, 40, 60, 80, 100, 200],
-     ["0-19", "20-39", "40-59", "60-79", "80-99", "100-199"]),
-    ("num_procedures", [0, 1, 2, 3, 4, 5, 6, INF], ["0", "1", "2", "3", "4", "5", "6+"]),
-    ("num_medications", [0, 5, 10, 15, 20, 25, 50],
-     ["0-4", "5-9", "10-14", "15-19", "20-24", "25-49"]),
-    ("number_diagnoses", list(range(0, 10)) + [INF],
-     ["0", "1", "2", "3", "4", "5", "6", "7", "8", "9+"]),
-]
+
+
+def _bin_label(low: int, high: float) -> str:
+    if high == INF:
+        return f"{low}+"
+    return str(low) if high == low + 1 else f"{low}-{high - 1}"
+
+
+# (variable, edges, labels)
+CLINICAL_BINS = [(name, [*low, INF], [_bin_label(a, b) for a, b in zip(low, [*low[1:], INF])])
+                 for name, low in CLINICAL_EDGES.items()]
 
 
 def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:

@@ -108,7 +108,7 @@ def customer_days(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
     cust = customer.select(
         F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    return daily.join(cust, "o_custkey", "inner")
+    return daily.join(cust, "o_custkey", "left")
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +122,8 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     days = customer_days(orders, customer)
     lines = order_lines(lineitem)
-    base = (orders.join(days, ["o_custkey", "day"], "inner")
+    # left joins: an order without a customer or a date is an encounter too, without history
+    base = (orders.join(days, ["o_custkey", "day"], "left")
             .join(lines, orders.o_orderkey == lines.l_orderkey, "left"))
 
     o, c = F.col("o_orderkey"), F.col("o_custkey")
@@ -157,9 +158,7 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "num_lab_procedures": (qty % 132 + 1).cast("int"),
         "num_procedures": (n_lines % 7).cast("int"),
         "num_medications": (n_parts + 1 + o % 40).cast("int"),
-        "number_outpatient": F.col("number_outpatient"),
-        "number_emergency": F.col("number_emergency"),
-        "number_inpatient": F.col("number_inpatient"),
+        **{n: F.coalesce(F.col(n), F.lit(0)) for n in ("number_outpatient", "number_emergency", "number_inpatient")},
         "diag_1": diag_code("d1"),
         "diag_2": diag_code("d2"),
         "diag_3": diag_code("d3"),
