@@ -157,6 +157,27 @@ def test_every_shared_run_is_found(spark, docs):
     assert want <= {r.doc_id for r in passages.repeated_passages(spark, docs).collect()}
 
 
+def _words(rng, n):
+    return [f"w{x}" for x in rng.choices(range(10**9), k=n)]
+
+
+def test_edited_passages_are_found(spark):
+    rng, rows, want = random.Random(11), [], set()
+    for n, edits in ((50, 5), (50, 10), (55, 1), (60, 3), (60, 6), (75, 15), (100, 20)):
+        for _ in range(25):
+            shared = _words(rng, n)
+            edited = list(shared)
+            for at in rng.sample(range(1, n - 1), edits):
+                edited[at] = _words(rng, 1)[0]
+            i = len(rows)
+            rows += [(i, " ".join(_words(rng, 60) + shared + _words(rng, 70))), (i + 1, " ".join(_words(rng, 40) + edited + _words(rng, 90)))]
+            want.add((i + 1, i))
+    got = passages.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    found = {(r.doc_id, r.source_doc_id) for r in got}
+    assert found <= want and len(found) >= 0.97 * len(want)
+    assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.word_start >= 35 for r in got)
+
+
 # 1
 
 def test_mix_meets_targets_and_repeats(spark, docs):
