@@ -178,6 +178,33 @@ def test_edited_passages_are_found(spark):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.word_start >= 35 for r in got)
 
 
+def test_passage_of_frequent_lines_is_found(spark):
+    rng, rows, want = random.Random(12), [], set()
+
+    def add(words):
+        rows.append((len(rows), " ".join(_words(rng, 40) + words + _words(rng, 40))))
+        return len(rows) - 1
+    for n, size in ((4, 15), (3, 20), (2, 30), (2, 45)):
+        for between in (False, True):
+            for _ in range(15):
+                lines = [_words(rng, size) for _ in range(n)]
+                for line in lines:
+                    add(line)
+                a = add(sum(lines, []))
+                for line in lines * between:
+                    add(line)
+                want.add((add(sum(lines, [])), a))
+    for _ in range(15):  # neighbouring lines occurred together before
+        lines = [_words(rng, 15) for _ in range(4)]
+        for x, y in itertools.pairwise(lines):
+            add(x + y)
+        a = add(sum(lines, []))
+        want.add((add(sum(lines, [])), a))
+    got = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(
+        spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert want <= got
+
+
 # 1
 
 def test_mix_meets_targets_and_repeats(spark, docs):
