@@ -297,11 +297,16 @@ def ngram_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
                    .where(f"{100 + percent} * ({least}) <= {100 - percent} * (n + n2)"))
             return met.select(F.greatest("class", "class2").alias("a"), F.least("class", "class2").alias("b")).distinct()
 
-        # under one star a pair either differs in all its own elements or shares one of them
-        apart = facing(open_, ["sig"], "u + u2 + if(star = star2, own - u + own2 - u2 + abs(miss - miss2), 0)")
+        # under one star a pair either differs in all its own elements or shares one of them.
+        # u may hold elements of the star that the other set misses, so u and miss do not add up
+        apart = facing(open_, ["sig"], "greatest(u + u2, if(star = star2, own + own2 + abs(miss - miss2), 0))")
         elements = scratch.put(own_elements(left.where("class <> star").select("class", F.col("star").alias("rep_class")), texts, k), "own-elements")
-        rest = elements.select("class", "e").join(left, "class").join(comp_of, "class")
-        sharing = facing(rest, ["star", "e"], "u + u2 + abs(miss - miss2)")
+        # v: elements outside the star that no other set under it has
+        alone = (elements.groupBy("rep_class", "e").agg(F.count("*").alias("sets"), F.min("class").alias("class")).where("sets = 1")
+                 .groupBy("class").agg(F.count("*").alias("v")))
+        rest = (elements.select("class", "e").join(left.join(alone, "class", "left").withColumn("v", F.coalesce("v", F.lit(0))), "class")
+                .join(comp_of, "class"))
+        sharing = facing(rest, ["star", "e"], "greatest(u + u2, v + v2 + abs(miss - miss2))")
         cross = apart.unionByName(sharing).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
         cross = scratch.put(cross, "cross")
         more = verify(cross, "second")

@@ -100,6 +100,27 @@ def test_components_match_brute_force(spark, docs, edge):
             assert (r.doc_id is None and r.component_id is None) or (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), want[r.doc_id])
 
 
+def test_sets_that_meet_smaller_ones_link(spark):
+    """x and x less some elements, after stars that are parts of x, not linked with it, so that every key of both has a star."""
+    rng, groups = random.Random(5), []
+    for n in range(6, 45):
+        for g in range(6):
+            x = [f"x{n}g{g}e{j}" for j in range(n)]
+            own = -(-n * 18 // 100)
+            at = rng.sample(range(n), n)
+            parts = [at[lo:lo + own] for lo in range(0, n, own)][:1 + g]
+            stars = [[w for j, w in enumerate(x) if j not in part] for part in parts]
+            less = rng.sample(stars[0], rng.randint(1, max(1, n * 15 // 100)))
+            groups.append([*stars, x, [w for w in x if w not in less]])
+    rows, want = [], {}
+    for sets in groups:
+        ids = range(len(rows), len(rows) + len(sets))
+        rows += [(i, " ".join(words)) for i, words in zip(ids, sets)]
+        want |= _components({i: frozenset(words) for i, words in zip(ids, sets)}, 85)  # groups share no word
+    got = nj.ngram_components(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), k=1, percent=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_keep_one_keeps_one_of_each(spark, edge):
     ids = sorted(r.doc_id or 0 for r in nj.keep_one(spark, edge).collect())
     assert ids == [0, 1, 1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14]  # 2, 3 copy 1; 8 copies 7
