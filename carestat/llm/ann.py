@@ -8,7 +8,9 @@ nearest to it, one of twice as many as there are dimensions. TABLES rotations
 give as many tables. A query probes the PROBES nearest axes of each table, so
 a candidate is met if any table has it in a probed bucket. When buckets would
 hold more than TARGET rows on average, a second polytope over fewer
-dimensions is added to the hash, and the probes are the best pairs of axes.
+dimensions is added to the hash, the probes are the best pairs of axes, and
+there are as many times more of them as there are more buckets: the share of
+buckets that is probed, and with it recall, does not fall with the table.
 
 Every row is indexed; there is no cap on a bucket. A bucket's rows
 and the queries that probe it are cut into parts of about CHUNK, so that no
@@ -90,6 +92,11 @@ def probes(x: np.ndarray, table: int, second: int, count: int) -> np.ndarray:
     return np.take_along_axis(code, best, 1)
 
 
+def probe_count(probe: int, second: int) -> int:
+    """Probes of a table: the same share of its buckets with a second polytope as without."""
+    return probe * max(1, 2 * second)
+
+
 def _unit(raw: list[bytes], largest: float, query: bool) -> np.ndarray:
     v = np.stack([np.frombuffer(b, "<f8") for b in raw])
     width = 1 << int(v.shape[1]).bit_length()  # a power of two above the length
@@ -144,7 +151,7 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
                 if len(pdf):
                     x = _unit(list(pdf["raw"]), largest, True)
                     for t in range(tables):
-                        p = probes(x, t, second, probe)
+                        p = np.concatenate([probes(x[lo:lo + 256], t, second, probe_count(probe, second)) for lo in range(0, len(x), 256)])
                         at = np.repeat(np.arange(len(pdf)), p.shape[1])
                         yield pd.DataFrame({"tab": t, "bucket": p.ravel(), "cid": pdf["cid"].to_numpy()[at], "raw": pdf["raw"].to_numpy()[at]})
 

@@ -417,6 +417,26 @@ def test_nearest_recall(spark, target):
     assert ann.nearest(spark, both.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("second", [0, 1, 2, 4, 8])
+def test_probes_keep_recall_with_a_second_polytope(second):
+    import pyarrow.parquet as pq
+    raw = [np.array(v, "<f8").tobytes() for v in pq.read_table("/root/testdata/sf0.1/embeddings.parquet", columns=["embedding"])["embedding"].to_pylist()[:2_000]]
+    x = np.stack([np.frombuffer(r, "<f8") for r in raw])
+    at = np.arange(0, len(x), 20)
+    score = x[at] @ x.T
+    score[np.arange(len(at)), at] = -np.inf
+    true = np.argsort(-score, 1)[:, :20]
+    rows, asked = ann._unit(raw, np.sqrt((x * x).sum(1)).max(), False), ann._unit([raw[i] for i in at], 1.0, True)
+    met = np.zeros(score.shape, bool)
+    for t in range(ann.TABLES):
+        own, probed = ann.buckets(rows, t, second), ann.probes(asked, t, second, ann.probe_count(ann.PROBES, second))
+        for i, p in enumerate(probed):
+            met[i] |= np.isin(own, p)
+    recall = np.take_along_axis(met, true, 1).mean()
+    print("RECALL", second, recall)
+    assert recall >= 0.9
+
+
 # 7
 
 def test_quality_separates_grades(spark, empty):
