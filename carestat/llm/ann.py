@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-Vectors are scaled by the largest norm M and get one more component, so that
-all lie on the unit sphere and the largest inner product is the nearest
-direction. A pseudo-rotation (three rounds of random signs and a fast Hadamard
+Vectors are hashed by direction, in ranges of norms: within a range the longest
+is at most RANGE times the shortest, so the largest inner products are near the
+nearest directions, and every range has tables of its own, all of which a query
+probes. A query that meets fewer than k candidates is compared with every
+vector, in the same blocks as a hot bucket. A pseudo-rotation (three rounds of random signs and a fast Hadamard
 transform) sends a vector to a random position; its hash is the signed axis
 nearest to it, one of twice as many as there are dimensions. TABLES rotations
 give as many tables. A query probes the PROBES nearest axes of each table, so
@@ -41,6 +43,7 @@ TARGET = 1_024
 CHUNK = 2_048
 BLOCK_ROWS = 16_384  # index rows scored in one call, about
 SEED = 97
+RANGE = 1.25  # of norms
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -97,16 +100,10 @@ def probe_count(probe: int, second: int) -> int:
     return probe * max(1, 2 * second)
 
 
-def _unit(raw: list[bytes], largest: float, query: bool) -> np.ndarray:
+def _unit(raw: list[bytes]) -> np.ndarray:
     v = np.stack([np.frombuffer(b, "<f8") for b in raw])
-    width = 1 << int(v.shape[1]).bit_length()  # a power of two above the length
-    out = np.zeros((len(v), width))
-    norm = np.sqrt((v * v).sum(1))
-    if query:
-        out[:, :v.shape[1]] = v / norm[:, None]
-    else:
-        out[:, :v.shape[1]] = v / largest
-        out[:, v.shape[1]] = np.sqrt(np.maximum(0.0, 1 - (norm / largest) ** 2))
+    out = np.zeros((len(v), 1 << int(v.shape[1]).bit_length()))  # a power of two above the length
+    out[:, :v.shape[1]] = v / np.sqrt((v * v).sum(1))[:, None]
     return out
 
 
@@ -131,7 +128,12 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
         raw = F.udf(lambda v: np.array(v, "<f8").tobytes(), "binary")
         classes = scratch.put(classes.withColumn("raw", raw("vec")), "classes")
         n, largest = classes.agg(F.count("*"), F.max("norm")).first()
-        if not n:
+        if n:
+            # a hair above the largest norm: equal norms up to rounding are one range
+            band = F.floor((F.log(F.lit(largest)) - F.log("norm") + 1e-6) / float(np.log(RANGE))).cast("int")
+            classes = scratch.put(classes.withColumn("band", band), "ranges")
+            bands = [r["band"] for r in classes.select("band").distinct().orderBy("band").collect()]
+        else:
             return spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score double")
         width = 1 << len(classes.select("vec").first()[0]).bit_length()
         second = 0
@@ -142,41 +144,36 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
         def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 if len(pdf):
-                    x = _unit(list(pdf["raw"]), largest, False)
+                    x = _unit(list(pdf["raw"]))
                     for t in range(tables):
-                        yield pd.DataFrame({"tab": t, "bucket": buckets(x, t, second), "cid": pdf["cid"], "raw": pdf["raw"]})
+                        yield pd.DataFrame({"band": pdf["band"], "tab": t, "bucket": buckets(x, t, second), "cid": pdf["cid"], "raw": pdf["raw"]})
 
         def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 if len(pdf):
-                    x = _unit(list(pdf["raw"]), largest, True)
+                    x = _unit(list(pdf["raw"]))
                     for t in range(tables):
                         p = np.concatenate([probes(x[lo:lo + 256], t, second, probe_count(probe, second)) for lo in range(0, len(x), 256)])
                         at = np.repeat(np.arange(len(pdf)), p.shape[1])
-                        yield pd.DataFrame({"tab": t, "bucket": p.ravel(), "cid": pdf["cid"].to_numpy()[at], "raw": pdf["raw"].to_numpy()[at]})
+                        for r in bands:
+                            yield pd.DataFrame({"band": r, "tab": t, "bucket": p.ravel(), "cid": pdf["cid"].to_numpy()[at], "raw": pdf["raw"].to_numpy()[at]})
 
-        hashed = "tab int, bucket long, cid long, raw binary"
-        indexed = scratch.put(classes.select("cid", "raw").mapInPandas(index, hashed), "index")
+        hashed = "band int, tab int, bucket long, cid long, raw binary"
+        indexed = scratch.put(classes.select("cid", "raw", "band").mapInPandas(index, hashed), "index")
         asked = queries.select("cid").distinct().join(classes.select("cid", "raw"), "cid").mapInPandas(probing, hashed)
         # a bucket's rows and the queries that probe it are both cut into blocks
         asked = scratch.put(asked, "probes")
-        sizes = (indexed.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-                 .join(asked.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("asks")), ["tab", "bucket"]))
         spread = max(8, -(-n * tables // BLOCK_ROWS))
-        block = F.pmod(F.xxhash64("tab", "bucket", "chunk", "ask"), F.lit(spread)).cast("int").alias("block")
+        block = F.pmod(F.xxhash64("band", "tab", "bucket", "chunk", "ask"), F.lit(spread)).cast("int").alias("block")
 
         def part(own: str, count: str):
             return F.pmod(F.xxhash64(own), F.col(count)).cast("int")
 
         def every(count: str):
             return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-        cols = ["tab", "bucket", "chunk", "ask", "cid", "raw"]
-        indexed = indexed.join(sizes, ["tab", "bucket"]).withColumn("chunk", part("cid", "chunks")).withColumn("ask", every("asks")).select(block, *cols)
-        asked = asked.join(sizes, ["tab", "bucket"]).withColumn("ask", part("cid", "asks")).withColumn("chunk", every("chunks")).select(block, *cols)
-
         def score(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             out = [pd.DataFrame({"q": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "score": np.zeros(0)})]
-            key = ["tab", "bucket", "chunk", "ask"]
+            key = ["band", "tab", "bucket", "chunk", "ask"]
             by = rows.groupby(key, sort=False).indices
             for name, at in asked.groupby(key, sort=False).indices.items():
                 if name not in by:
@@ -193,10 +190,28 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
                     out.append(pd.DataFrame({"q": np.repeat(ask["cid"].to_numpy()[lo:lo + 256], m), "cid": ids[top].ravel(), "score": exact.ravel()}))
             return pd.concat(out)
 
-        met = asked.groupBy("block").cogroup(indexed.groupBy("block")).applyInPandas(score, "q long, cid long, score double")
+        def scored(indexed: DataFrame, asked: DataFrame) -> DataFrame:
+            """(q, cid, score): the best of every bucket for each query that probes it."""
+            at = ["band", "tab", "bucket"]
+            sizes = (indexed.groupBy(*at).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+                     .join(asked.groupBy(*at).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("asks")), at))
+            cols = [*at, "chunk", "ask", "cid", "raw"]
+            indexed = indexed.join(sizes, at).withColumn("chunk", part("cid", "chunks")).withColumn("ask", every("asks")).select(block, *cols)
+            asked = asked.join(sizes, at).withColumn("ask", part("cid", "asks")).withColumn("chunk", every("chunks")).select(block, *cols)
+            met = asked.groupBy("block").cogroup(indexed.groupBy("block")).applyInPandas(score, "q long, cid long, score double")
+            top = met.groupBy("q", "cid").agg(F.max("score").alias("score"))
+            return top.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "cid", "score")
+
         best = Window.partitionBy("q").orderBy(F.desc("score"), "cid")
-        top = (met.groupBy("q", "cid").agg(F.max("score").alias("score"))
-               .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "cid", "score"))
+        top = scratch.put(scored(indexed, asked), "top")
+        # queries that met too few are compared with all
+        few = min(k + 1, n)
+        enough = top.groupBy("q").count().where(F.col("count") >= few).select(F.col("q").alias("cid"))
+        short = scratch.put(queries.select("cid").distinct().join(enough, "cid", "left_anti").join(classes.select("cid", "raw"), "cid"), "short")
+        if short.limit(1).count():
+            one = [F.lit(0).alias("band"), F.lit(-1).alias("tab"), F.lit(0).cast("long").alias("bucket"), "cid", "raw"]
+            whole = scored(classes.select(*one), short.select(*one))
+            top = scratch.put(top.join(short.select(F.col("cid").alias("q")), "q", "left_anti").unionByName(whole), "top-all")
         # the ids behind the nearest vectors; one more than asked for, as a query meets itself
         ids = (top.join(classes.select("cid", "ids"), "cid").select("q", "score", F.explode("ids").alias("id"))
                .withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).where(F.col("r") <= k + 1))

@@ -426,17 +426,32 @@ def test_probes_keep_recall_with_a_second_polytope(second):
     score = x[at] @ x.T
     score[np.arange(len(at)), at] = -np.inf
     true = np.argsort(-score, 1)[:, :20]
-    rows, asked = ann._unit(raw, np.sqrt((x * x).sum(1)).max(), False), ann._unit([raw[i] for i in at], 1.0, True)
+    rows, asked = ann._unit(raw), ann._unit([raw[i] for i in at])
     met = np.zeros(score.shape, bool)
     for t in range(ann.TABLES):
         own, probed = ann.buckets(rows, t, second), ann.probes(asked, t, second, ann.probe_count(ann.PROBES, second))
         for i, p in enumerate(probed):
             met[i] |= np.isin(own, p)
     recall = np.take_along_axis(met, true, 1).mean()
-    print("RECALL", second, recall)
     assert recall >= 0.9
 
 
+@pytest.mark.parametrize("skew", ["outlier", "log-normal"])
+def test_recall_with_unequal_norms(spark, skew):
+    rng = np.random.default_rng(6)
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet").orderBy("vec_id").limit(500).collect()
+    x = np.array([r.embedding for r in table], np.float32).astype(float)
+    x *= np.where(np.arange(len(x)) == 3, 20.0, 1.0)[:, None] if skew == "outlier" else np.exp(rng.normal(0, 0.5, len(x)))[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(spark, rows, lambda i: i % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    assert all(len(got[q]) == 20 for q in range(0, len(x), 20))
+    assert np.mean([len(got[q] & set(np.argsort(-score[q])[:20].tolist())) / 20 for q in got]) >= 0.9
+
+
 # 7
 
 def test_quality_separates_grades(spark, empty):
