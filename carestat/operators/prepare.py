@@ -1,4 +1,4 @@
-"""Model preparation (M1-M11): feature selection, exact stratified split,
+"""Model preparation (M1-M10; M11 is not built): feature selection, exact stratified split,
 train-fitted imputation / scaling / one-hot encoding, assembled vectors.
 
 Scale notes
