@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard, passages, quality
+from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard, passages, quality, role_repair, sharding
 from carestat.llm.common import table
 
 
@@ -54,6 +54,14 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repaired_conversations(spark, table(spark, sf_dir, "conversations"))
+
+
+def op13_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards_of(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -65,5 +73,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op12_role_repair": op12_role_repair,
+    "op13_external_shuffle": op13_external_shuffle,
 }
 ORACLE: dict[str, str] = {}
