@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard, passages, quality, role_repair, sharding
+from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard, passages, quality, role_repair, sharding, zone_clusters
 from carestat.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_zone_map_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters.clustered(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.repaired_conversations(spark, table(spark, sf_dir, "conversations"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_language_id": op9_language_id,
     "op10_license_scan": op10_license_scan,
+    "op11_zone_map_clusters": op11_zone_map_clusters,
     "op12_role_repair": op12_role_repair,
     "op13_external_shuffle": op13_external_shuffle,
 }
