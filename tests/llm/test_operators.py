@@ -199,6 +199,38 @@ def test_edited_passages_are_found(spark):
     assert all(r.n_words >= 50 and r.similarity >= 0.8 and r.word_start >= 35 for r in got)
 
 
+def test_evenly_edited_passages_are_found(spark):
+    """Every fifth word replaced: similarity 0.8, no five words in a row left."""
+    rng, rows, want = random.Random(13), [], set()
+    for n in (54, 60, 80):
+        for _ in range(60):
+            shared = _words(rng, n)
+            edited = [_words(rng, 1)[0] if at % 5 == 4 else w for at, w in enumerate(shared)]
+            rows += [(len(rows), " ".join(_words(rng, 60) + shared + _words(rng, 70))), (len(rows) + 1, " ".join(_words(rng, 40) + edited + _words(rng, 90)))]
+            want.add((len(rows) - 1, len(rows) - 2))
+    got = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(
+        spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got <= want
+    found = {n: sum(w in got for w in list(sorted(want))[60 * j:60 * j + 60]) / 60 for j, n in enumerate((54, 60, 80))}
+    assert min(found.values()) >= 0.9, found
+
+
+def test_alignment_past_a_chain_is_the_best():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        a, b = rng.integers(0, 40, (2, 9, passages.MARGIN))
+        b[:5] = np.where(rng.random((5, passages.MARGIN)) < 0.8, a[:5], b[:5])
+        got = passages.outwards(a, b)
+        for n in range(9):
+            table = np.zeros((passages.MARGIN + 1,) * 2, int)
+            for i, j in itertools.product(range(passages.MARGIN), repeat=2):
+                table[i + 1, j + 1] = max(table[i, j] + (a[n, i] == b[n, j]), table[i, j + 1], table[i + 1, j])
+            for t in range(passages.MARGIN + 1):
+                cells = np.argwhere(table == t)
+                want = min((i + j for i, j in cells), default=None)
+                assert (got[n, t] == 1 << 30) if want is None else got[n, t] >> 10 == want
+
+
 def test_passage_of_frequent_lines_is_found(spark):
     rng, rows, want = random.Random(12), [], set()
 
@@ -221,6 +253,14 @@ def test_passage_of_frequent_lines_is_found(spark):
             add(x + y)
         a = add(sum(lines, []))
         want.add((add(sum(lines, [])), a))
+    for _ in range(20):  # and again between the two that hold all four
+        lines = [_words(rng, 15) for _ in range(4)]
+        for x, y in itertools.pairwise(lines):
+            add(x + y)
+        a = add(sum(lines, []))
+        for x, y in itertools.pairwise(lines):
+            add(x + y)
+        want.add((add(sum(lines, [])), a))
     got = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(
         spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     assert want <= got
