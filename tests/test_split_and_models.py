@@ -142,25 +142,6 @@ def test_scoring_names_missing_required_columns(spark):
         score_patients(spark.range(1), None, None, None)
 
 
-def test_exact_knn_batches_match_brute_force(spark, monkeypatch):
-    import numpy as np
-    from carestat.operators import smote as SM
-    monkeypatch.setattr(SM, "QUERY_BATCH", 50)
-    monkeypatch.setattr(SM, "BLOCK", 7)
-    rng = np.random.default_rng(0)
-    pts = rng.normal(size=(300, 6)).round(3)
-    df = spark.createDataFrame([(i, [float(x) for x in pts[i]]) for i in range(300)],
-                               "vid long, v array<double>")
-    got = {}
-    for r in SM._exact_knn(df, df.filter("vid < 120"), 5, 120).collect():
-        got.setdefault(r.vid, []).append((r.dist, r.nid))
-    for q in range(120):
-        d = np.sqrt(((pts - pts[q]) ** 2).sum(axis=1))
-        d[q] = np.inf
-        want = [int(j) for j in np.lexsort((np.arange(300), d))[:5]]
-        assert [n for _, n in sorted(got[q])] == want
-
-
 def test_permutation_importance_finds_signal(spark):
     import numpy as np
     from pyspark.ml.classification import RandomForestClassifier
@@ -181,29 +162,6 @@ def test_permutation_importance_finds_signal(spark):
     assert imp["signal"] > 0.2 and abs(imp["noise"]) < 0.05
 
 
-def test_forest_knn_exact_in_one_group_and_bounded_in_many(spark):
-    import numpy as np
-    from carestat.operators.smote import forest_knn
-    rng = np.random.default_rng(3)
-    pts = rng.normal(size=(200, 5)).round(3)
-    df = spark.createDataFrame([(i, [float(x) for x in pts[i]]) for i in range(200)],
-                               "vid long, v array<double>")
-    one = {}
-    for r in forest_knn(df, 5, trees=1, group_rows=1000).collect():
-        one.setdefault(r.vid, []).append((r.dist, r.nid))
-    for q in range(200):
-        d = np.sqrt(((pts - pts[q]) ** 2).sum(axis=1))
-        d[q] = np.inf
-        want = [int(j) for j in np.lexsort((np.arange(200), d))[:5]]
-        assert [n for _, n in sorted(one[q])] == want
-    many = forest_knn(df, 5, trees=3, group_rows=25).collect()
-    by = {}
-    for r in many:
-        by.setdefault(r.vid, []).append(r)
-        assert r.dist == pytest.approx(float(np.sqrt(((pts[r.vid] - pts[r.nid]) ** 2).sum())), abs=1e-9)
-    assert len(by) == 200 and all(len(v) == 5 for v in by.values())
-
-
 def test_score_patients_from_partial_inputs(spark):
     from carestat.operators import prepare as M
     from carestat.operators.score import score_patients
