@@ -4,9 +4,9 @@ Input: a DataFrame with a 0/1 ``label`` and a probability ``score``.
 
 Threshold metrics are one global aggregate (four ``count_if``). Ranking
 metrics (ROC AUC, average precision, curve points) first aggregate to one
-row per distinct score (scores are rounded to 6 places, so at most 10^6 + 1
-groups whatever the row count) and only then run cumulative windows, so the
-single-partition window never sees encounter rows.
+row per distinct score and then add up running totals over range partitions of
+the scores (``ranks.running_totals``). Scores are taken as they are: two that
+differ in their last digit rank apart.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import r6, rows_of, safe_div, zero_div
+from .ranks import running_totals
 
 LABEL, SCORE = "label", "score"
 
 
 def scored_view(df: DataFrame, label: str, score: str, key: str | None = None) -> DataFrame:
-    cols = [F.col(label).cast("int").alias(LABEL), r6(F.col(score)).alias(SCORE)]
+    cols = [F.col(label).cast("int").alias(LABEL), F.col(score).cast("double").alias(SCORE)]
     if key:
         cols.insert(0, F.col(key))
     return df.select(*cols)
@@ -90,14 +91,9 @@ def score_groups(scored: DataFrame) -> DataFrame:
     g = scored.groupBy(SCORE).agg(F.count(F.lit(1)).alias("n"),
                                   F.sum(F.col(LABEL)).cast("bigint").alias("pos"))
     g = g.withColumn("neg", F.col("n") - F.col("pos"))
-    down = Window.orderBy(F.desc(SCORE)).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    return g.select(SCORE, "n", "pos", "neg",
-                    F.sum("n").over(down).alias("cum_n"),
-                    F.sum("pos").over(down).alias("cum_pos"),
-                    F.sum("neg").over(down).alias("cum_neg"),
-                    F.sum("pos").over(everything).alias("pos_total"),
-                    F.sum("neg").over(everything).alias("neg_total"))
+    g = running_totals(g, SCORE, ["n", "pos", "neg"], descending=True)
+    return g.select(SCORE, "n", "pos", "neg", "cum_n", "cum_pos", "cum_neg",
+                    F.col("total_pos").alias("pos_total"), F.col("total_neg").alias("neg_total"))
 
 
 def _ranking_aggs() -> list:

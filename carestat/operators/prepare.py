@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import col, r6, values_table
+from .ranks import quantiles, value_counts
 from ..schema import BINARY_FEATURES, CATEGORICAL_FEATURES, MED_USED_FEATURES, NUMERIC_FEATURES
 
 TARGET = "readmitted_30d"
@@ -196,6 +197,28 @@ class Preparation:
         return cls(encoder=PipelineModel.load(f"{path}/encoder"), **json.loads(line))
 
 
+def train_medians(train: DataFrame, numeric: list[str]) -> dict[str, float]:
+    """M4: median of each column's non-null values, 0 without any. Distinct values are counted
+    map-side and ranked in range partitions; one row per column reaches the driver."""
+    if not numeric:
+        return {}
+    long = train.select(*[col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "feature", "x")
+    found = quantiles(value_counts(long, "x", ["feature"]), "x", ["feature"], {"median": 0.5}).collect()
+    medians = {r["feature"]: float(r["median"]) for r in found}
+    return {c: medians.get(c, 0.0) for c in numeric}
+
+
+def train_modes(train: DataFrame, categorical: list[str]) -> dict[str, str]:
+    """M6: each column's most frequent text, ties to the smallest; empty without any."""
+    if not categorical:
+        return {}
+    long = train.select(*[col(c).cast("string").alias(c) for c in categorical]).unpivot([], categorical, "feature", "v")
+    counts = long.where("v is not null").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("feature").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("m")).select("feature", "m.v").collect()
+    modes = {r["feature"]: r["v"] for r in found}
+    return {c: modes.get(c, "") for c in categorical}
+
+
 def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None) -> Preparation:
     """M4-M10 fitted on the training rows only."""
     groups = groups or feature_groups(train)
@@ -208,15 +231,7 @@ def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None
             categorical.append(c)
         else:
             passthrough.append(c)
-    aggs = []
-    for c in numeric:
-        x = col(c).cast("double")
-        aggs += [F.median(x).alias(f"med__{c}")]
-    for c in categorical:
-        aggs += [F.mode(col(c).cast("string"), True).alias(f"mode__{c}")]
-    stats = train.agg(*aggs).first().asDict()
-    medians = {c: float(stats[f"med__{c}"]) if stats[f"med__{c}"] is not None else 0.0 for c in numeric}
-    modes = {c: stats[f"mode__{c}"] or "" for c in categorical}
+    medians, modes = train_medians(train, numeric), train_modes(train, categorical)
     # mean and population std of the imputed column
     imputed = {c: F.coalesce(col(c).cast("double"), F.lit(medians[c])) for c in numeric}
     mom = train.agg(*[F.avg(v).alias(f"m__{c}") for c, v in imputed.items()],

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (bin_left_closed, col, corr_from_parts, corr_parts, r6, safe_div,
                                  values_table)
+from .ranks import quantiles, value_counts
 from ..schema import MEDICATIONS
 
 LABEL = "readmitted_30d"
@@ -240,30 +241,26 @@ def medication_rate_difference(df: DataFrame, meds: Sequence[str] = MEDICATIONS,
 def box_summary(df: DataFrame, columns: Sequence[str] = BOX_COLUMNS,
                 by: str = "readmitted") -> DataFrame:
     """Quartiles (linear interpolation), 1.5 IQR whiskers and outlier count
-    per (variable, group). Two aggregations; the percentile state is a
-    value->count map, so it merges map-side for count-like columns."""
+    per (variable, group). One pass over the rows counts the distinct values, which
+    are ranked in range partitions; quartiles, whiskers and outliers come from
+    the counts."""
     cols = _present(df, columns)
     narrow = df.select(col(by).alias("group"), *[col(c).cast("double").alias(c) for c in cols])
-    long = (narrow.unpivot(["group"], cols, "variable", "x")
-            .filter(F.col("x").isNotNull() & F.col("group").isNotNull()))
-    q = long.groupBy("variable", "group").agg(
-        F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.lit(1)).alias("n"))
-    q = q.select("variable", "group", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    long = narrow.unpivot(["group"], cols, "variable", "x").filter(F.col("group").isNotNull())
+    keys = ["variable", "group"]
+    counts = value_counts(long, "x", keys)
+    q = quantiles(counts, "x", keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
-    q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * iqr, "hi_fence": F.col("q3") + 1.5 * iqr})
-    # one stats row per (variable, group): a proven tiny broadcast side
-    joined = long.join(F.broadcast(q), ["variable", "group"])
+    q = q.withColumns({"lo_fence": F.col("q1") - 1.5 * iqr, "hi_fence": F.col("q3") + 1.5 * iqr}).drop("n")
+    joined = counts.join(q, keys)
     inside = (F.col("x") >= F.col("lo_fence")) & (F.col("x") <= F.col("hi_fence"))
-    # the quartiles are constant per group: carry them through this second
-    # aggregation instead of joining the stats back a second time
+    # the quartiles are constant per group: carried through the aggregation
     w = joined.groupBy("variable", "group").agg(
-        F.max("n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"),
+        F.max("total_n").alias("n"), F.max("q1").alias("q1"), F.max("median").alias("median"),
         F.max("q3").alias("q3"),
         F.min(F.when(inside, F.col("x"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("x"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"))
     return w.select("variable", "group", F.col("n").cast("bigint").alias("n"),
                     r6(F.col("q1")).alias("q1"), r6(F.col("median")).alias("median"),
                     r6(F.col("q3")).alias("q3"), r6(F.col("whisker_low")).alias("whisker_low"),

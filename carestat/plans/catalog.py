@@ -229,9 +229,9 @@ def rule_scored(spark, sf_dir) -> DataFrame:
 
 
 def scored_population(spark, sf_dir) -> DataFrame:
-    """(encounter_id, label, score): the scaled rule score as probability."""
-    return E.scored_view(rule_scored(spark, sf_dir), "readmitted_30d", "scaled_rule_score",
-                         key="encounter_id")
+    """(encounter_id, label, score): the rule score over its maximum, unrounded, as probability."""
+    df = rule_scored(spark, sf_dir).withColumn("share", F.col("rule_score") / F.lit(R.RULE_SCORE_MAX))
+    return E.scored_view(df, "readmitted_30d", "share", key="encounter_id")
 
 
 @query("r2_rule_score")

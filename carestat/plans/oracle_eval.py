@@ -9,18 +9,19 @@ from .oracle_base import case_map, lit, with_tables
 
 
 def _factor(x: str, scale: float) -> str:
-    return f"CASE WHEN {x} IS NULL THEN NULL ELSE LEAST(CAST({x} AS DOUBLE) / {scale}, 1.0) END"
+    return f"CASE WHEN {x} IS NULL THEN NULL ELSE LEAST(CAST({x} AS DOUBLE) / CAST({scale} AS DOUBLE), CAST(1.0 AS DOUBLE)) END"
 
 
 RULE = (
-    "CASE WHEN f IS NULL THEN NULL ELSE LEAST(0.15 * f, 0.95) END")
+    "CASE WHEN f IS NULL THEN NULL ELSE LEAST(CAST(0.15 AS DOUBLE) * f, CAST(0.95 AS DOUBLE)) END")
 RULE_FACTORS = (
-    f"COALESCE({case_map('age', R.AGE_WEIGHT)}, 0.3) * "
-    f"(CASE WHEN gender = 'Male' THEN 1.0 ELSE 0.9 END) * "
+    # decimals would multiply exactly: every factor is a double, as in the operator
+    f"CAST(COALESCE({case_map('age', R.AGE_WEIGHT)}, 0.3) AS DOUBLE) * "
+    f"CAST(CASE WHEN gender = 'Male' THEN 1.0 ELSE 0.9 END AS DOUBLE) * "
     f"{_factor('time_in_hospital', 10.0)} * {_factor('num_medications', 20.0)} * "
     f"{_factor('number_diagnoses', 5.0)} * "
-    f"COALESCE({case_map('\"A1Cresult\"', R.A1C_WEIGHT)}, 1.0) * "
-    f"COALESCE({case_map('insulin', R.INSULIN_WEIGHT)}, 1.0)")
+    f"CAST(COALESCE({case_map('\"A1Cresult\"', R.A1C_WEIGHT)}, 1.0) AS DOUBLE) * "
+    f"CAST(COALESCE({case_map('insulin', R.INSULIN_WEIGHT)}, 1.0) AS DOUBLE)")
 
 RS = (f"rs0 AS (SELECT *, {RULE_FACTORS} AS f FROM fea), "
       f"rs1 AS (SELECT *, {RULE} AS rule_score FROM rs0), "
@@ -28,7 +29,7 @@ RS = (f"rs0 AS (SELECT *, {RULE_FACTORS} AS f FROM fea), "
       "CASE WHEN rule_score < 0.1 THEN 'Low' WHEN rule_score < 0.25 THEN 'Moderate' "
       "WHEN rule_score IS NOT NULL THEN 'High' END AS risk_tier FROM rs1), "
       "sc AS (SELECT encounter_id, CAST(readmitted_30d AS INTEGER) AS label, "
-      "ROUND(scaled_rule_score, 6) AS score FROM rs)")
+      f"rule_score / CAST({R.RULE_SCORE_MAX} AS DOUBLE) AS score FROM rs)")
 
 
 def W(select: str, extra: list[str] | None = None) -> str:
