@@ -42,6 +42,7 @@ from carestat.llm.common import Scratch, components, keep_ids
 from carestat.llm.words import SPACED, documents_words, mix, shingles, signed
 
 _U = np.uint64
+INDEX_KEYS = 400_000  # keys that a task holds at a time, and those of one set
 SHARED = 0.05  # assumed share of a set's elements that an unrelated set of its band also has
 
 
@@ -118,12 +119,24 @@ def set_digests(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFram
 
 def index_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
                plan: dict[int, tuple[int, int, int]], edges: list[int]) -> DataFrame:
-    """(sig, doc, others): documents by key. Within an Arrow batch the documents
-    of a key are already one row, its smallest id with the others beside it."""
+    """(sig, doc, others): documents by key. Within an Arrow batch, INDEX_KEYS keys at a time, the
+    documents of a key are already one row, its smallest id with the others beside it."""
+    def rows(sigs: list, docs_: list) -> pa.RecordBatch:
+        sig = np.concatenate(sigs)
+        doc = np.repeat(np.array(docs_, np.int64), [len(g) for g in sigs])
+        order = np.lexsort((doc, sig))
+        sig, doc = sig[order], doc[order]
+        head = np.r_[True, sig[1:] != sig[:-1]]
+        at = np.flatnonzero(head)
+        counts = np.diff(np.r_[at, len(sig)]) - 1
+        offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.int32(), mask=np.r_[counts == 0, False])
+        others = pa.ListArray.from_arrays(offsets, pa.array(doc[~head]))
+        return pa.RecordBatch.from_arrays([pa.array(signed(sig[at])), pa.array(doc[at]), others], names=["sig", "doc", "others"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy(zero_copy_only=False)
-            sigs, docs_ = [], []
+            sigs, docs_, size = [], [], 0
             for i, w, *_ in documents_words(b, "text", SPACED):
                 s = shingles(w, k)
                 if not len(s):
@@ -131,23 +144,14 @@ def index_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
                 band = int(np.searchsorted(edges, len(s), "right")) - 1
                 for at in (band, band + 1):  # as the larger and as the smaller partner
                     if at in plan:
-                        g = signatures(s, at, *plan[at])
-                        sigs.append(g)
-                        docs_.append(np.full(len(g), ids[i], np.int64))
-            if not sigs:
-                continue
-            sig, doc = np.concatenate(sigs), np.concatenate(docs_)
-            order = np.lexsort((doc, sig))
-            sig, doc = sig[order], doc[order]
-            head = np.r_[True, sig[1:] != sig[:-1]]
-            at = np.flatnonzero(head)
-            counts = np.diff(np.r_[at, len(sig)]) - 1
-            offsets = np.r_[0, np.cumsum(counts)].astype(np.int32)
-            none = pa.array(np.r_[counts == 0, False])
-            offsets = pa.array(offsets, pa.int32(), mask=none.to_numpy(zero_copy_only=False))
-            others = pa.ListArray.from_arrays(offsets, pa.array(doc[~head]))
-            yield pa.RecordBatch.from_arrays([pa.array(signed(sig[at])), pa.array(doc[at]), others],
-                                             names=["sig", "doc", "others"])
+                        sigs.append(signatures(s, at, *plan[at]))
+                        docs_.append(ids[i])
+                        size += len(sigs[-1])
+                if size >= INDEX_KEYS:
+                    yield rows(sigs, docs_)
+                    sigs, docs_, size = [], [], 0
+            if sigs:
+                yield rows(sigs, docs_)
     thin = (docs.where(F.col(id_col).isNotNull())
             .select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text")))
     return thin.mapInArrow(run, "sig long, doc long, others array<long>")
