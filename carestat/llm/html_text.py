@@ -2,20 +2,27 @@
 
 A page is read into its leaf blocks: runs of text between block-level tags, in
 page order, each with its ancestors. A block is main text or not; features
-are its ancestors' tags and class words, its nearest container, and its text
-(length, share of link text, closing sign, place on the page). The labels of
+are its ancestors' tags and class words, its nearest container (its words, links
+and headings), and its text (length, share of link text, closing sign, place on
+the page, the blocks beside it). The labels of
 a page's blocks form a chain; weights are fitted by maximum likelihood
 (forward-backward) on labelled pages, and a page is decoded by Viterbi.
 
 Labelled pages: PAGES pages, first by a hash of their id, whose landmark tags
 (article, main; not nav, aside, footer, form, ...) label the blocks, and for
 each of them VARIANTS pages with the same texts set in another layout
-(containers named by class or id, notices, adverts, sidebars, forms, reader
-comments), so that tags alone do not decide. Extraction reads every whole page.
+(containers named by class or id, by names that tell nothing, or not at all;
+notices, adverts, sidebars, forms, reader comments), so that tags alone do not
+decide. A fit takes the first MAX_TRAIN_BLOCKS blocks of a training page and
+MAX_TEXTS texts of it for each layout. Extraction reads every whole page. The
+marks of the generated layouts are read in training alone: no attribute of a real
+page is a label.
 
 Defined cases: null or empty html and pages without text give ''; broken or
 cut-off markup is read as far as it goes; scripts, styles, comments, titles
-and other text that is not shown are no blocks; without a page to learn from
+and other text that is not shown are no blocks; an element that hides its text
+hides none where it is not closed (scripts and styles do); a block or text ends an
+unclosed head; choices of a form are no blocks; without a page to learn from
 the layouts are filled with stock sentences; repeated rows give repeated results.
 """
 
@@ -34,15 +41,20 @@ from carestat.llm.common import keep_ids
 PAGES = 200
 VARIANTS = 4
 MAX_TRAIN_BLOCKS = 80  # blocks of one training page used in the fit
+MAX_TEXTS = 12  # texts of a training page set in one generated layout, main and other each
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|title|svg|iframe|object|canvas|textarea|select|noframes|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    # text of these is not shown, up to the closing tag if there is one
+    r"|<(template|title|svg|iframe|textarea|noframes|xmp)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?:(?<=/)>|>(?:.*?</\2\s*>)?)"
     r"|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>|[^>]*(?:>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"(class|id|role|itemprop|data-label|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTR = re.compile(r"(?<![^\s\"'/])(class|id|role|itemprop|hidden|style|data-part)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("html head title base link meta style script noscript template".split())
+CHOICES = frozenset("select option optgroup datalist".split())
 HOLDERS = frozenset("article main nav header footer aside section form figure table ul ol dl details dialog menu".split())
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -54,42 +66,43 @@ class Block:
         self.text, self.path, self.links, self.label = text, path, links, label
 
 
-def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks of a page. A path entry is (tag, class words, label)."""
+def blocks(page: str | None, marked: bool = False) -> list[Block]:
+    """Leaf blocks of a page. A path entry is (tag, class words, label, number of the element); labels are
+    read from pages that ``layout`` made and marked only."""
     out: list[Block] = []
     if not page:
         return out
     stack: list[tuple] = []
     raw: list[str] = []
-    linked = in_link = 0
+    linked = in_link = serial = 0
     at, head = 0, False
 
     def flush():
         nonlocal linked
-        if raw:
+        if raw and not (stack and stack[-1][0] in CHOICES):
             text = " ".join(html.unescape("".join(raw)).split())
             if text:
                 label = next((e[2] for e in reversed(stack) if e[2] is not None), None)
                 out.append(Block(text, tuple(stack), min(linked, len(text)), label))
-            raw.clear()
+        raw.clear()
         linked = 0
 
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not head:
-            piece = page[at:m.start()]
+        piece = page[at:m.start()]
+        head = head and not piece.strip()
+        if piece and not head:
             raw.append(piece)
             if in_link:
                 linked += len(piece)
         at = m.end()
-        tag = m[2]
+        tag = m[3]
         if tag is None:
             continue
         tag, closing = tag.lower(), page[m.start() + 1] == "/"
         if tag == "head":
             head = not closing
             continue
-        if tag == "body":
-            head = False
+        head = head and tag in IN_HEAD
         if tag == "a":
             in_link = 0 if closing else 1
         if tag == "br":
@@ -106,26 +119,29 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in VOID:
             continue
+        while tag not in CHOICES and stack and stack[-1][0] in CHOICES:
+            stack.pop()
         if stack and stack[-1][0] == "p":  # a block ends an open paragraph
             stack.pop()
         ends = _SELF_CLOSING.get(tag)
         while ends and stack and stack[-1][0] in ends:
             stack.pop()
         words, label = (), None
-        if "=" in m[3] or "hidden" in m[3]:
+        if "=" in m[4] or "hidden" in m[4]:
             found = []
-            for name, value in _ATTR.findall(m[3]):
+            for name, value in _ATTR.findall(m[4]):
                 name, value = name.lower(), value.strip("\"'").lower()
-                if name == "data-label":
-                    label = int(value)
+                if name == "data-part":
+                    label = int(value) if marked else None
                 elif name == "hidden" or (name == "style" and "none" in value):
                     found.append("hidden")
                 elif name != "style":
                     found += _WORD.findall(value)
             words = tuple(found)
-        if not (m[3].endswith("/>")):
-            stack.append((tag, words, label))
-    if at < len(page) and not head:
+        if not (m[4].endswith("/>")):
+            serial += 1
+            stack.append((tag, words, label, serial))
+    if at < len(page) and (not head or page[at:].strip()):
         raw.append(page[at:])
     flush()
     return out
@@ -133,7 +149,7 @@ def blocks(page: str | None) -> list[Block]:
 
 def path_features(path: tuple) -> list[str]:
     out = {"bias"}
-    for depth, (tag, words, _) in enumerate(reversed(path)):
+    for depth, (tag, words, *_) in enumerate(reversed(path)):
         out.add("a " + tag)
         if depth == 0:
             out.add("t " + tag)
@@ -155,32 +171,55 @@ def text_features(b: Block, i: int, n: int) -> list[str]:
             "f first" if i == 0 else "f last" if i == n - 1 else "f mid", "s sign" if b.text[0] in "©®»«|•" else "s none"]
 
 
+def _holder(b: Block) -> int:
+    """Number of the nearest element that holds more than one leaf, 0 for the page."""
+    return next((e[3] for e in reversed(b.path) if e[0] in HOLDERS or e[0] == "div"), 0)
+
+
+def around_features(page: list[Block]) -> list[list[str]]:
+    """For each block what is around it: words, link share and headings of its container, and its neighbours."""
+    words, links, chars, heads = {}, {}, {}, {}
+    holders = [_holder(b) for b in page]
+    for b, h in zip(page, holders):
+        words[h] = words.get(h, 0) + b.text.count(" ") + 1
+        links[h], chars[h] = links.get(h, 0) + b.links, chars.get(h, 0) + len(b.text)
+        if b.path and b.path[-1][0] in ("h1", "h2"):
+            heads[h] = min(heads.get(h, "h9"), b.path[-1][0])
+    top = max(words.values(), default=0)
+    size = [min(8, (b.text.count(" ") + 1).bit_length()) for b in page]
+    out = []
+    for i, (b, h) in enumerate(zip(page, holders)):
+        out.append([f"cw {min(10, words[h].bit_length())}", f"cl {int(4 * links[h] / max(1, chars[h]))}", f"ch {heads.get(h, '-')}",
+                    f"cs {int(4 * words[h] / max(1, top))}", f"pw {size[i - 1] if i else '-'}", f"nw {size[i + 1] if i + 1 < len(page) else '-'}"])
+    return out
+
+
 class Chain:
     """Weights of the field: score of main over other text per feature, and of label pairs."""
 
     def __init__(self, weights: dict[str, float], steps: np.ndarray, start: float):
         self.weights, self.steps, self.start, self._paths = weights, steps, start, {}
 
-    def unary(self, b: Block, i: int, n: int) -> float:
+    def unary(self, b: Block, i: int, n: int, around: list[str]) -> float:
         key = tuple(e[:2] for e in b.path)
         known = self._paths.get(key)
         if known is None:
             if len(self._paths) > 50_000:
                 self._paths.clear()
             known = self._paths[key] = sum(self.weights.get(f, 0.0) for f in path_features(b.path))
-        return known + sum(self.weights.get(f, 0.0) for f in text_features(b, i, n))
+        return known + sum(self.weights.get(f, 0.0) for f in text_features(b, i, n)) + sum(self.weights.get(f, 0.0) for f in around)
 
     def decode(self, page: list[Block]) -> list[int]:
         """Most likely labels, by Viterbi."""
         if not page:
             return []
-        n, back = len(page), []
+        n, back, around = len(page), [], around_features(page)
         (s00, s01), (s10, s11) = self.steps.tolist()
-        lo, hi = 0.0, self.unary(page[0], 0, n) + self.start
+        lo, hi = 0.0, self.unary(page[0], 0, n, around[0]) + self.start
         for i in range(1, n):
             from_lo, from_hi = (0 if lo + s00 >= hi + s10 else 1), (0 if lo + s01 > hi + s11 else 1)
             back.append((from_lo, from_hi))
-            lo, hi = max(lo + s00, hi + s10), max(lo + s01, hi + s11) + self.unary(page[i], i, n)
+            lo, hi = max(lo + s00, hi + s10), max(lo + s01, hi + s11) + self.unary(page[i], i, n, around[i])
         label = int(hi >= lo)
         out = [label]
         for step in reversed(back):
@@ -201,9 +240,10 @@ def fit(pages: list[list[Block]], labels: list[list[int]], ridge: float = 1e-3,
     n, t = len(pages), max(map(len, pages))
     real, gold = np.zeros((t, n), bool), np.zeros((t, n), np.int64)
     for j, (page, ys) in enumerate(zip(pages, labels)):
+        around = around_features(page)
         for i, b in enumerate(page):
             real[i, j], gold[i, j] = True, ys[i]
-            for f in path_features(b.path) + text_features(b, i, len(page)):
+            for f in path_features(b.path) + text_features(b, i, len(page)) + around[i]:
                 rows.append(i * n + j)
                 cols.append(index.setdefault(f, len(index)))
     rows, cols, k = np.array(rows), np.array(cols), len(index)
@@ -236,7 +276,7 @@ def fit(pages: list[list[Block]], labels: list[list[int]], ridge: float = 1e-3,
         err = (node - gold * real) / n
         grad = np.r_[np.bincount(cols, err.ravel()[rows], k), ((pair - pair_gold) / n).ravel(), err[0].sum()] + ridge * p
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
-        p -= 0.15 * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
+        p -= 0.15 * (1 - 0.98 * it / steps) * (m / (1 - 0.9 ** it)) / (np.sqrt(v / (1 - 0.99 ** it)) + 1e-8)
     return Chain({f: float(p[i]) for f, i in index.items()}, p[k:k + 4].reshape(2, 2).copy(), float(p[k + 4]))
 
 
@@ -267,15 +307,21 @@ STOCK = ["The quick brown fox jumps over the lazy dog.", "A second sentence foll
 
 
 def layout(rng: np.random.Generator, main: list[str], other: list[str]) -> str:
-    """A page with the given texts in a random layout; data-label marks the parts."""
+    """A page with the given texts in a random layout; data-part marks them."""
+    plain = rng.random()  # how often a part has a name that tells nothing, or none
+
     def pick(names):
-        return names[rng.integers(len(names))]
+        name = names[rng.integers(len(names))]
+        if rng.random() < plain * 0.6:
+            own = "".join(chr(97 + c) for c in rng.integers(26, size=int(rng.integers(2, 7))))
+            name = (f'<div class="{own}">', f'<div id="{own}-{rng.integers(99)}">', "<div>", f'<section class="{own}">')[rng.integers(4)]
+        return name
 
     def some(texts):
         return html.escape(texts[rng.integers(len(texts))])
 
     def wrap(opening: str, label: int, inner: str) -> str:
-        opening = re.sub(r"^<(\w+)", rf'<\1 data-label="{label}"', opening)
+        opening = re.sub(r"^<(\w+)", rf'<\1 data-part="{label}"', opening)
         return opening + inner + "".join(f"</{t}>" for t in re.findall(r"<(\w+)", opening)[::-1])
 
     def links(n):
@@ -329,10 +375,10 @@ def labelled_pages(found: list[tuple[int, str]], variants: int = VARIANTS) -> tu
         if any(ys) and not all(ys):
             pages.append(own)
             labels.append(ys)
-        main = [b.text for b, y in zip(own, ys) if y][:12] or STOCK
-        other = [b.text for b, y in zip(own, ys) if not y][:12] or STOCK
+        main = [b.text for b, y in zip(own, ys) if y][:MAX_TEXTS] or STOCK
+        other = [b.text for b, y in zip(own, ys) if not y][:MAX_TEXTS] or STOCK
         for v in range(variants):
-            made = blocks(layout(np.random.default_rng([number & 0xFFFFFFFF, v]), main, other))
+            made = blocks(layout(np.random.default_rng([number & 0xFFFFFFFF, v]), main, other), marked=True)
             pages.append(made)
             labels.append([b.label if b.label is not None else 0 for b in made])
     return pages, labels
