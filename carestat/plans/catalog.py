@@ -523,3 +523,11 @@ def e13_tree_permutation_importance(spark, sf_dir):
     matrix, prep = matrix_view(spark, sf_dir)
     return permutation_importance(model_view(spark, sf_dir, "Random Forest"),
                                   matrix.filter(F.col("split") == "test"), prep.feature_names)
+
+
+@query("e13_tree_contributions")
+def e13_tree_contributions(spark, sf_dir):
+    from ..operators.tree_shap import mean_contributions, tree_contributions
+    matrix, prep = matrix_view(spark, sf_dir)
+    rows = tree_contributions(model_view(spark, sf_dir, "Random Forest"), matrix.filter(F.col("split") == "test"))
+    return mean_contributions(rows, prep.feature_names)
