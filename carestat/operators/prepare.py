@@ -1,4 +1,4 @@
-"""Model preparation (M1-M10; M11 is not built): feature selection, exact stratified split,
+"""Model preparation (M1-M11): feature selection, exact stratified split,
 train-fitted imputation / scaling / one-hot encoding, assembled vectors.
 
 Scale notes
@@ -22,6 +22,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -179,7 +180,8 @@ class Preparation:
         for c in self.categorical:
             exprs[f"__cat_{c}"] = F.coalesce(col(c).cast("string"), F.lit(self.modes[c]))
         for c in self.passthrough:
-            exprs[f"__pass_{c}"] = F.coalesce(col(c).cast("double"), F.lit(0.0))
+            exprs[f"__pass_{c}"] = F.coalesce(F.trim(col(c).cast("string")).try_cast("double"), F.lit(0.0)) if isinstance(
+                df.schema[c].dataType, T.StringType) else F.coalesce(col(c).cast("double"), F.lit(0.0))
         return self.encoder.transform(df.withColumns(exprs))
 
     def save(self, spark: SparkSession, path: str) -> str:
@@ -219,15 +221,47 @@ def train_modes(train: DataFrame, categorical: list[str]) -> dict[str, str]:
     return {c: modes.get(c, "") for c in categorical}
 
 
-def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None) -> Preparation:
-    """M4-M10 fitted on the training rows only."""
+# ----------------------------------------------------------------- M11 ----
+# a decimal number with an optional exponent, blanks around it allowed
+NUMBER_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def residual_text_kinds(train: DataFrame, test: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, kind, not_numbers_train, not_numbers_test): 'numeric' where every non-null text of both
+    parts is a number, else 'category'. One aggregate over both parts."""
+    if not columns:
+        return values_table(train.sparkSession, [("feature", "string"), ("kind", "string"), ("not_numbers_train", "long"), ("not_numbers_test", "long")], [])
+    text = [col(c).cast("string").alias(c) for c in columns]
+    both = train.select(F.lit(True).alias("__train"), *text).unionByName(test.select(F.lit(False).alias("__train"), *text))
+    other = {c: ~col(c).rlike(NUMBER_TEXT) for c in columns}
+    counts = both.agg(*[F.count_if(bad & (F.col("__train") == part)).alias(f"{name}_{i}")
+                        for i, bad in enumerate(other.values()) for name, part in (("train", True), ("test", False))])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.when((F.col(f"train_{i}") == 0) & (F.col(f"test_{i}") == 0), "numeric").otherwise("category").alias("kind"),
+                              F.col(f"train_{i}").alias("not_numbers_train"), F.col(f"test_{i}").alias("not_numbers_test"))
+                     for i, c in enumerate(columns)])
+    return counts.select(F.inline(rows))
+
+
+def resolve_residual_text(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both parts with the numeric ones of the text columns as double, and the names that stay text (to be
+    one-hot encoded, unseen values as all zeros)."""
+    kinds = {r["feature"]: r["kind"] for r in residual_text_kinds(train, test, columns).collect()}  # a row a column
+    numbers = {c: F.trim(col(c)).cast("double") for c in columns if kinds[c] == "numeric"}
+    return train.withColumns(numbers), test.withColumns(numbers), [c for c in columns if c not in numbers]
+
+
+def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None, test: DataFrame | None = None) -> Preparation:
+    """M4-M11 fitted on the training rows only; ``test`` takes part in nothing but the choice of M11:
+    a text column among the flags whose values are numbers in both parts is a number."""
     groups = groups or feature_groups(train)
     numeric = list(groups["numeric"])
     categorical = list(groups["categorical"])
     passthrough = []
+    leftovers = [c for c in groups["binary"] + groups["medication"] if isinstance(train.schema[c].dataType, T.StringType)]
+    _, _, texts = resolve_residual_text(train, train if test is None else test, leftovers)
     for c in groups["binary"] + groups["medication"]:
         # M8: text leftovers (diabetesMed, change) become categorical
-        if isinstance(train.schema[c].dataType, T.StringType):
+        if c in texts:
             categorical.append(c)
         else:
             passthrough.append(c)
@@ -268,6 +302,16 @@ def feature_name_table(prep: Preparation, spark) -> DataFrame:
     return values_table(spark, [("idx", "int"), ("feature", "string")], list(enumerate(prep.feature_names)))
 
 
+def matrix_rows(matrix: DataFrame, prep: Preparation, *, key: str = "encounter_id", features: str = "features") -> DataFrame:
+    """M7, M9: (key, split, slots, one column per numeric feature): the standardised numbers, and the places
+    of the matrix that hold another value than 0 among the one-hot slots and flags, as place=value."""
+    x = vector_to_array(features)
+    first = len(prep.numeric)
+    rest = F.filter(F.transform(F.slice(x, first + 1, len(prep.feature_names)), lambda v, i: F.struct((i + first).alias("i"), v.alias("v"))), lambda s: s["v"] != 0.0)
+    slots = F.array_join(F.transform(rest, lambda s: F.concat(s["i"].cast("string"), F.lit("="), s["v"].cast("long").cast("string"))), ",")
+    return matrix.select(key, "split", slots.alias("slots"), *[r6(F.get(x, F.lit(i))).alias(c) for i, c in enumerate(prep.numeric)])
+
+
 def numeric_statistics(prep: Preparation, spark) -> DataFrame:
     """M4, M5: (feature, median, mean, std) of the training rows; mean and
     population std are those of the imputed column."""

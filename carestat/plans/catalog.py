@@ -531,3 +531,162 @@ def e13_tree_contributions(spark, sf_dir):
     matrix, prep = matrix_view(spark, sf_dir)
     rows = tree_contributions(model_view(spark, sf_dir, "Random Forest"), matrix.filter(F.col("split") == "test"))
     return mean_contributions(rows, prep.feature_names)
+
+
+# --------------------------------------- files, saved models, model checks ---
+import uuid  # noqa: E402
+
+from ..operators import verify as V  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import codes as CD  # noqa: E402
+from ..sources import encounters as EN  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+
+def encounter_lines(spark, sf_dir) -> tuple[str, list[str]]:
+    """The raw encounters as CSV lines in the shared folder, and the first three fields of every
+    seventh one again, as a line that was cut off. Returns the folder and the column names."""
+    raw = tables.raw(spark, sf_dir)
+    path = scratch_path(spark, f"encounters-{uuid.uuid4().hex}")
+    whole = raw.select(F.to_csv(F.struct(*[col(c) for c in raw.columns])).alias("value"))
+    cut = raw.where("encounter_id % 7 = 0").select(F.to_csv(F.struct("encounter_id", "patient_nbr", "race")).alias("value"))
+    whole.unionByName(cut).write.text(path)
+    return path, raw.columns
+
+
+@query("s1_s8_csv_encounters")
+def s1_s8_csv_encounters(spark, sf_dir):
+    path, names = encounter_lines(spark, sf_dir)
+    return EN.read_encounters_csv(spark, path, names)
+
+
+@query("s1_malformed_lines")
+def s1_malformed_lines(spark, sf_dir):
+    path, names = encounter_lines(spark, sf_dir)
+    bad = EN.malformed_lines(spark, path, names)
+    return bad.select("line", F.size(F.split("line", ",")).alias("fields"))
+
+
+@query("s8_table_round_trip")
+def s8_table_round_trip(spark, sf_dir):
+    """The cleaned table written by return class and read back."""
+    path = scratch_path(spark, f"cleaned-{uuid.uuid4().hex}")
+    SK.write_table(tables.cleaned(spark, sf_dir, keep_ids=True), path, partition_by=["readmitted"])
+    return spark.read.parquet(path).select("encounter_id", "readmitted", "readmitted_30d", "time_in_hospital", "race")
+
+
+@query("s6_missing_columns")
+def s6_missing_columns(spark, sf_dir):
+    return EN.missing_expected_columns(tables.raw(spark, sf_dir).drop("race", "insulin", "readmitted"))
+
+
+def _code_file(spark, rows) -> str:
+    return SK.write_table(rows, scratch_path(spark, f"codes-{uuid.uuid4().hex}"), "csv")
+
+
+def _nations(spark, sf_dir):
+    """Names of nations and regions stand for code descriptions."""
+    n, r = (spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("nation", "region"))
+    return n.join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+
+
+@query("s2_s4_codes_with_category")
+def s2_s4_codes_with_category(spark, sf_dir):
+    rows = _nations(spark, sf_dir).select(F.col("r_name").alias("category"), F.when(F.col("n_nationkey") % 6 == 5, "x").otherwise(F.col("n_nationkey").cast("string")).alias("id"),
+                                          F.when(F.col("n_nationkey") % 4 == 0, "NULL").otherwise(F.col("n_name")).alias("description"))
+    return CD.read_code_list(spark, _code_file(spark, rows))
+
+
+@query("s2_s4_codes_by_description")
+def s2_s4_codes_by_description(spark, sf_dir):
+    marks = F.array(*[F.lit(m.title()) for m in CD.CATEGORY_MARKERS.values()], F.lit("Other"))
+    rows = _nations(spark, sf_dir).select(F.col("n_nationkey").alias("id"), F.concat_ws(" ", F.get(marks, F.col("n_nationkey") % 4), "n_name").alias("description"))
+    return CD.read_code_list(spark, _code_file(spark, rows))
+
+
+@query("s2_s5_codes_fallback")
+def s2_s5_codes_fallback(spark, sf_dir):
+    """A file of neither shape: the short lists, one category of them."""
+    rows = _nations(spark, sf_dir).select("n_nationkey", "n_name")
+    return CD.category_codes(CD.read_code_list(spark, _code_file(spark, rows)), "discharge_disposition")
+
+
+M11_TEXTS = ["stay_text", "lab_text", "diag_1", "diag_2", "age"]
+
+
+def residual_text_parts(spark, sf_dir):
+    """Training and test rows with text columns: of numbers, of numbers in the training rows only, of codes."""
+    df = split_view(spark, sf_dir).withColumns({
+        "stay_text": F.concat(F.lit(" "), F.col("time_in_hospital").cast("string"), F.lit(".50 ")),
+        "lab_text": F.when((F.col("split") == "test") & (F.col("num_lab_procedures") > 60), "many").otherwise(F.col("num_lab_procedures").cast("string"))})
+    return df.where("split = 'train'"), df.where("split = 'test'")
+
+
+@query("m11_residual_text_kinds")
+def m11_residual_text_kinds(spark, sf_dir):
+    return M.residual_text_kinds(*residual_text_parts(spark, sf_dir), M11_TEXTS)
+
+
+@query("m11_resolved_text")
+def m11_resolved_text(spark, sf_dir):
+    """Per column and part after M11: numbers added up, or categories counted."""
+    train, test, texts = M.resolve_residual_text(*residual_text_parts(spark, sf_dir), M11_TEXTS)
+    rows = train.select("split", *M11_TEXTS).unionByName(test.select("split", *M11_TEXTS))
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), (F.lit(None).cast("double") if c in texts else col(c)).alias("x"),
+                                (col(c) if c in texts else F.lit(None).cast("string")).alias("v")) for c in M11_TEXTS])
+    return (rows.select("split", F.inline(values)).groupBy("feature", "split")
+            .agg(F.round(F.sum("x"), 6).alias("total"), F.count_distinct("v").alias("categories")))
+
+
+@query("m7_m9_matrix_rows")
+def m7_m9_matrix_rows(spark, sf_dir):
+    matrix, prep = matrix_view(spark, sf_dir)
+    return M.matrix_rows(matrix, prep)
+
+
+@query("s9_s10_saved_scores")
+def s9_s10_saved_scores(spark, sf_dir):
+    """Preparation, matrix and model saved, the first model that exists loaded, the test rows prepared and scored
+    anew: whether the loaded ones give the scores of the fitted ones."""
+    matrix, prep = matrix_view(spark, sf_dir)
+    model = model_view(spark, sf_dir, "Logistic Regression")
+    base = scratch_path(spark, f"saved-{uuid.uuid4().hex}")
+    prep.save(spark, f"{base}/preparation")
+    SK.save_model_ready(matrix, f"{base}/matrix")
+    T.save_model(model, f"{base}/model")
+    loaded = T.load_first([f"{base}/absent", f"{base}/model"])
+    again = M.Preparation.load(spark, f"{base}/preparation")
+    test = split_view(spark, sf_dir).where("split = 'test'")
+    anew = T.predict(loaded, again.transform(test).withColumnRenamed("readmitted_30d", "label")).select("encounter_id", F.col("score").alias("anew"))
+    kept = T.predict(loaded, SK.load_model_ready(spark, f"{base}/matrix").where("split = 'test'")).select("encounter_id", F.col("score").alias("kept"))
+    own = T.predict(model, matrix.where("split = 'test'"))
+    return (own.join(anew, "encounter_id", "full").join(kept, "encounter_id", "full")
+            .select("encounter_id", F.col("label").cast("int").alias("label"), F.coalesce((F.col("score") == F.col("anew")) & (F.col("score") == F.col("kept")), F.lit(False)).alias("same")))
+
+
+@query("t2_logistic_optimality")
+def t2_logistic_optimality(spark, sf_dir):
+    """Per coefficient of the logistic fit: whether the gradient of its objective is 0 within 1e-3."""
+    matrix, prep = matrix_view(spark, sf_dir)
+    train = T.with_weights(matrix.where("split = 'train'"), T.model_suite()["Logistic Regression"][1])
+    g = V.logistic_gradient(model_view(spark, sf_dir, "Logistic Regression"), train, prep.feature_names)
+    return g.select("feature", (F.abs("gradient") < 1e-3).alias("at_optimum"))
+
+
+@query("t3_t8_e1_prediction_checks")
+def t3_t8_e1_prediction_checks(spark, sf_dir):
+    """Per model: its test rows and positives, scores outside [0, 1], and whether the comparison's figures follow
+    from the predictions, counted another way."""
+    rows, fitted = suite_view(spark, sf_dir)
+    test = matrix_view(spark, sf_dir)[0].where("split = 'test'")
+    figures = None
+    for name in T.MODEL_ORDER:
+        one = V.prediction_figures(T.predict(fitted[name], test).select("label", "score")).withColumn("model", F.lit(name))
+        figures = one if figures is None else figures.unionByName(one)
+    names = ["accuracy", "precision", "recall", "f1", "roc_auc"]
+    met = figures.alias("a").join(rows.alias("b"), "model")
+    agrees = F.lit(True)
+    for c in names:
+        agrees &= F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= 1e-6
+    return met.select("model", F.col("rows").cast("long").alias("rows"), F.col("positives").cast("long").alias("positives"),
+                      F.col("outside").cast("long").alias("outside"), agrees.alias("agrees"))

@@ -4,29 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import values_table
 from ..schema import EXPECTED_COLUMNS, encounter_schema
 
 
-def read_encounters_csv(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT = "_corrupt_line"
+
+
+def read_encounters_csv(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Encounter CSV with an explicit schema (no inference; diagnosis codes
-    stay text so V/E codes survive). Extra file columns are ignored by name."""
-    schema = encounter_schema()
-    header = spark.read.option("header", True).csv(path).columns
-    known = {f.name: f for f in schema.fields}
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False).schema(
-        _string_schema(header)).csv(path)
-    cols = []
-    for c in header:
-        if c in known:
-            cols.append(F.col(f"`{c}`").try_cast(known[c].dataType).alias(c))
-    return raw.select(*cols)
-
-
-def _string_schema(names):
-    from pyspark.sql import types as T
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+    stay text so V/E codes survive). Extra file columns are ignored by name; a value that
+    does not fit its type is null. ``names`` are the columns of a file without a header.
+    Lines with too few or too many fields are left out; ``malformed_lines`` has them."""
+    known = {f.name: f for f in encounter_schema().fields}
+    raw = _csv_lines(spark, path, names)
+    return raw.where(F.col(CORRUPT).isNull()).select(*[F.col(f"`{c}`").try_cast(known[c].dataType).alias(c) for c in raw.columns if c in known])
+
+
+def malformed_lines(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """The lines (one column) that do not have the file's number of fields, kept aside as they are."""
+    raw = _csv_lines(spark, path, names)
+    # Spark reads the aside column only together with another one
+    return raw.where(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), F.col(f"`{raw.columns[0]}`")).alias("line"))
+
+
+def _csv_lines(spark: SparkSession, path: str, names: list[str] | None) -> DataFrame:
+    header = names is None
+    names = names or spark.read.option("header", True).csv(path).columns
+    schema = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
+    # without pruning: whether a line is malformed must not depend on the columns a query reads
+    return (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False).schema(schema).csv(path))
 
 
 def read_encounters_parquet(spark: SparkSession, path: str) -> DataFrame:
