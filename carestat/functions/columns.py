@@ -198,6 +198,8 @@ def rows_of(names, *rows) -> Column:
 def values_table(spark, columns: list[tuple[str, str]], rows) -> "DataFrame":
     """Small literal table as a SQL ``VALUES`` relation: planned as a JVM local
     relation (no Python RDD, no Python workers at execution)."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in columns])
     names = ", ".join(n for n, _ in columns)
     body = ", ".join("(" + ", ".join(sql_lit(v) for v in r) + ")" for r in rows)
     df = spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")

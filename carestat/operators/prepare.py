@@ -269,7 +269,7 @@ def fit_preparation(train: DataFrame, groups: dict[str, list[str]] | None = None
     # mean and population std of the imputed column
     imputed = {c: F.coalesce(col(c).cast("double"), F.lit(medians[c])) for c in numeric}
     mom = train.agg(*[F.avg(v).alias(f"m__{c}") for c, v in imputed.items()],
-                    *[F.stddev_pop(v).alias(f"s__{c}") for c, v in imputed.items()]).first().asDict()
+                    *[F.stddev_pop(v).alias(f"s__{c}") for c, v in imputed.items()]).first().asDict() if numeric else {}
     means = {c: float(mom[f"m__{c}"]) for c in numeric}
     stds = {c: float(mom[f"s__{c}"] or 0.0) for c in numeric}
 

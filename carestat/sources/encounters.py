@@ -20,13 +20,14 @@ def read_encounters_csv(spark: SparkSession, path: str, names: list[str] | None
     Lines with too few or too many fields are left out; ``malformed_lines`` has them."""
     known = {f.name: f for f in encounter_schema().fields}
     raw = _csv_lines(spark, path, names)
-    return raw.where(F.col(CORRUPT).isNull()).select(*[F.col(f"`{c}`").try_cast(known[c].dataType).alias(c) for c in raw.columns if c in known])
+    # Spark reads the aside column only together with another one, also where a query counts rows
+    whole = F.col(CORRUPT).isNull() & (F.coalesce(F.length(F.col(f"`{raw.columns[0]}`")), F.lit(0)) >= 0)
+    return raw.where(whole).select(*[F.col(f"`{c}`").try_cast(known[c].dataType).alias(c) for c in raw.columns if c in known])
 
 
 def malformed_lines(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """The lines (one column) that do not have the file's number of fields, kept aside as they are."""
     raw = _csv_lines(spark, path, names)
-    # Spark reads the aside column only together with another one
     return raw.where(F.col(CORRUPT).isNotNull()).select(F.coalesce(F.col(CORRUPT), F.col(f"`{raw.columns[0]}`")).alias("line"))
 
 

@@ -74,3 +74,15 @@ def test_streaming_daily_counts_with_watermark(spark):
              .count())
     assert got.count() > 0
     assert got.select("day", "risk_tier", "count").exceptAll(batch).count() == 0
+
+
+def test_csv_lines_with_other_field_counts_are_kept_aside(spark, tmp_path):
+    from carestat.sources.encounters import malformed_lines, read_encounters_csv
+    path = tmp_path / "enc.csv"
+    path.write_text('encounter_id,patient_nbr,race,diag_1,other\n1,5,"a,b",250.83,x\n2,6,c\nbad,7,d,V45,y\n3,8,e,E900,z,more\n4,,,,\n')
+    got = {r.encounter_id: r for r in read_encounters_csv(spark, str(path)).collect()}
+    assert set(got) == {1, None, 4} and got[1].race == "a,b" and got[1].diag_1 == "250.83" and got[None].patient_nbr == 7
+    assert "other" not in read_encounters_csv(spark, str(path)).columns
+    assert sorted(r.line for r in malformed_lines(spark, str(path)).collect()) == ["2,6,c", "3,8,e,E900,z,more"]
+    # the columns that a query reads do not change what is malformed
+    assert read_encounters_csv(spark, str(path)).select("race").count() == 3

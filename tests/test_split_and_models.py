@@ -183,3 +183,42 @@ def test_score_patients_from_partial_inputs(spark):
     out = score_patients(patients, prep, model, code_dimension(spark)).collect()
     assert len(out) == 2
     assert all(0.0 <= r.risk_score <= 1.0 and r.risk_tier in ("Low", "Moderate", "High") for r in out)
+
+
+def test_residual_text_is_a_number_only_if_all_of_it_is(spark):
+    from carestat.operators import prepare as M
+    train = spark.createDataFrame([("7", "1", " 2.5 ", None, "1d", "0x1"), ("10", "x", "-1e3", None, "2", "3")], "a string, b string, c string, d string, e string, f string")
+    test = spark.createDataFrame([("8", "2", ".5", None, "3", "4"), (None, "3", "+4.", None, "4", "5")], "a string, b string, c string, d string, e string, f string")
+    kinds = {r.feature: (r.kind, r.not_numbers_train, r.not_numbers_test) for r in M.residual_text_kinds(train, test, list("abcdef")).collect()}
+    assert kinds == {"a": ("numeric", 0, 0), "b": ("category", 1, 0), "c": ("numeric", 0, 0), "d": ("numeric", 0, 0), "e": ("category", 1, 0), "f": ("category", 1, 0)}
+    a, b, left = M.resolve_residual_text(train, test, list("abcdef"))
+    assert left == ["b", "e", "f"] and [r.c for r in a.collect()] == [2.5, -1000.0] and [r.a for r in b.collect()] == [8.0, None]
+    assert M.residual_text_kinds(train, test, []).count() == 0
+    prep = M.fit_preparation(train.selectExpr("a", "b", "c", "1 as y"), {"numeric": [], "categorical": [], "binary": ["a", "b", "c"], "medication": []})
+    assert prep.categorical == ["b"] and prep.passthrough == ["a", "c"]
+    rows = prep.transform(train.selectExpr("a", "b", "c")).select("features").collect()
+    assert [list(r.features.toArray()) for r in rows] == [[1.0, 0.0, 7.0, 2.5], [0.0, 1.0, 10.0, -1000.0]]
+    assert prep.feature_names == ["b_1", "b_x", "a", "c"]
+
+
+def test_logistic_gradient_vanishes_at_the_fit_only(spark):
+    from carestat.operators import verify as V
+    m = _toy_matrix(spark)
+    factory, scheme, _ = T.model_suite({"max_iter": 200})["Logistic Regression"]
+    data = T.with_weights(m, scheme)
+    n = data.agg(F.sum("weight")).first()[0]
+    early, late = (factory(n).copy().setMaxIter(i).fit(data) for i in (1, 200))
+    size = [max(abs(r.gradient) for r in V.logistic_gradient(x, data, ["x", "y"]).collect()) for x in (early, late)]
+    assert size[1] < 1e-4 < size[0]
+
+
+def test_damaged_model_raises_and_absent_one_is_passed_over(spark, tmp_path):
+    m = _toy_matrix(spark)
+    factory, scheme, _ = T.model_suite({"max_iter": 20})["Logistic Regression"]
+    T.save_model(T.fit(m, factory, scheme), str(tmp_path / "lr"))
+    for part in (tmp_path / "lr" / "data").glob("*.parquet"):
+        part.write_bytes(b"not a table")
+    with pytest.raises(Exception):
+        T.load_first([str(tmp_path / "none"), str(tmp_path / "lr")])
+    with pytest.raises(FileNotFoundError):
+        T.load_first([str(tmp_path / "none")])
