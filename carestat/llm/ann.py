@@ -7,12 +7,16 @@ probes. A query that meets fewer than k candidates is compared with every
 vector, in the same blocks as a hot bucket. A pseudo-rotation (three rounds of random signs and a fast Hadamard
 transform) sends a vector to a random position; its hash is the signed axis
 nearest to it, one of twice as many as there are dimensions. TABLES rotations
-give as many tables. A query probes the PROBES nearest axes of each table, so
+give as many tables. A query probes the nearest axes of each table, so
 a candidate is met if any table has it in a probed bucket. When buckets would
 hold more than TARGET rows on average, a second polytope over fewer
-dimensions is added to the hash, the probes are the best pairs of axes, and
-there are as many times more of them as there are more buckets: the share of
-buckets that is probed, and with it recall, does not fall with the table.
+dimensions is added to the hash, and the probes are the best pairs of axes.
+
+How many buckets a query probes is fitted: SAMPLE queries (first by a hash) are
+compared with every row, and the least count is taken by which RECALL of their
+true nearest is met, at most MOST probes (times the buckets a second polytope adds).
+As nearest vectors come nearer when a table grows, the count, and so the share of
+rows that is scored, falls with its size.
 
 Every row is indexed; there is no cap on a bucket. A bucket's rows
 and the queries that probe it are cut into parts of about CHUNK, so that no
@@ -33,12 +37,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import types as T
 
 from carestat.llm.common import Scratch
 
 TABLES = 14
-PROBES = 16
+SAMPLE = 200  # queries that the number of probes is fitted on
+RECALL = 0.96  # of their true nearest
+MOST = 64  # probes of a table
 TARGET = 1_024
 CHUNK = 2_048
 BLOCK_ROWS = 16_384  # index rows scored in one call, about
@@ -95,9 +103,16 @@ def probes(x: np.ndarray, table: int, second: int, count: int) -> np.ndarray:
     return np.take_along_axis(code, best, 1)
 
 
-def probe_count(probe: int, second: int) -> int:
-    """Probes of a table: the same share of its buckets with a second polytope as without."""
-    return probe * max(1, 2 * second)
+def probes_needed(x: np.ndarray, found: np.ndarray, at: np.ndarray, tables: int, second: int, recall: float, most: int = MOST) -> int:
+    """The least number of probes a table by which ``recall`` of the rows ``found`` are met by the queries ``x[at]``."""
+    need = np.full(len(found), 1 << 30)
+    count = most * max(1, 2 * second)
+    for t in range(tables):
+        own, near = buckets(found, t, second), probes(x, t, second, count)
+        met = near[at] == own[:, None]
+        need = np.where(met.any(1), np.minimum(need, met.argmax(1)), need)
+    rank = np.sort(need)[max(0, int(np.ceil(recall * len(need))) - 1)] if len(need) else 0
+    return int(min(rank + 1, count))
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
@@ -117,16 +132,28 @@ def usable(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("vec") == (size[0]["n"] if size else 0)).groupBy("id").agg(F.min(F.struct("vec", "norm")).alias("v")).select("id", "v.vec", "v.norm")
 
 
+def _with_bytes(classes: DataFrame) -> DataFrame:
+    """The rows with their vector's bytes as ``raw``."""
+    at, names = classes.columns.index("vec"), [*classes.columns, "raw"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data = b.column(at).flatten().to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+            step = len(data) // max(1, b.num_rows)
+            raw = pa.array([data[i:i + step] for i in range(0, len(data), step)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, raw], names=names)
+    return classes.mapInArrow(run, T.StructType([*classes.schema.fields, T.StructField("raw", T.BinaryType())]))
+
+
 def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "embedding",
-            k: int = 20, tables: int = TABLES, probe: int = PROBES, target: int = TARGET) -> DataFrame:
+            k: int = 20, tables: int = TABLES, recall: float = RECALL, target: int = TARGET) -> DataFrame:
     """query_id, rank, id_col, score: the k nearest found of each query row, itself left out."""
     with Scratch(spark, "cross-polytope") as scratch:
         rows = scratch.put(usable(table, id_col, vec_col).withColumn("h", F.xxhash64("vec")), "rows")
         first = Window.partitionBy("h", "vec").orderBy("id")
         classes = (rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
                    .groupBy("h", "vec").agg(F.min("id").alias("cid"), F.sort_array(F.collect_list("id")).alias("ids"), F.max("norm").alias("norm")))
-        raw = F.udf(lambda v: np.array(v, "<f8").tobytes(), "binary")
-        classes = scratch.put(classes.withColumn("raw", raw("vec")), "classes")
+        classes = scratch.put(_with_bytes(classes), "classes")
         n, largest = classes.agg(F.count("*"), F.max("norm")).first()
         if n:
             # a hair above the largest norm: equal norms up to rounding are one range
@@ -141,28 +168,7 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
             second = max(1, 2 * second)
         queries = scratch.put(rows.where(is_query(F.col("id"))).join(classes.select("h", "vec", "cid"), ["h", "vec"]).select("id", "cid"), "queries")
 
-        def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    x = _unit(list(pdf["raw"]))
-                    for t in range(tables):
-                        yield pd.DataFrame({"band": pdf["band"], "tab": t, "bucket": buckets(x, t, second), "cid": pdf["cid"], "raw": pdf["raw"]})
-
-        def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if len(pdf):
-                    x = _unit(list(pdf["raw"]))
-                    for t in range(tables):
-                        p = np.concatenate([probes(x[lo:lo + 256], t, second, probe_count(probe, second)) for lo in range(0, len(x), 256)])
-                        at = np.repeat(np.arange(len(pdf)), p.shape[1])
-                        for r in bands:
-                            yield pd.DataFrame({"band": r, "tab": t, "bucket": p.ravel(), "cid": pdf["cid"].to_numpy()[at], "raw": pdf["raw"].to_numpy()[at]})
-
-        hashed = "band int, tab int, bucket long, cid long, raw binary"
-        indexed = scratch.put(classes.select("cid", "raw", "band").mapInPandas(index, hashed), "index")
-        asked = queries.select("cid").distinct().join(classes.select("cid", "raw"), "cid").mapInPandas(probing, hashed)
-        # a bucket's rows and the queries that probe it are both cut into blocks
-        asked = scratch.put(asked, "probes")
+        best = Window.partitionBy("q").orderBy(F.desc("score"), "cid")
         spread = max(8, -(-n * tables // BLOCK_ROWS))
         block = F.pmod(F.xxhash64("band", "tab", "bucket", "chunk", "ask"), F.lit(spread)).cast("int").alias("block")
 
@@ -182,12 +188,15 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
                 x, ids = np.stack([np.frombuffer(b, "<f8") for b in own["raw"]]), own["cid"].to_numpy()
                 ask = asked.iloc[at]
                 q = np.stack([np.frombuffer(b, "<f8") for b in ask["raw"]])
-                m = min(k + 4, len(x))
+                m = min(k + 1, len(x))
+                slack = 1e-9 * float(np.sqrt((x * x).sum(1).max() * (q * q).sum(1).max()))
                 for lo in range(0, len(q), 256):
                     part_q = q[lo:lo + 256]
-                    top = np.argpartition(-(part_q @ x.T), m - 1, 1)[:, :m]
-                    exact = (part_q[:, None, :] * x[top]).sum(2)
-                    out.append(pd.DataFrame({"q": np.repeat(ask["cid"].to_numpy()[lo:lo + 256], m), "cid": ids[top].ravel(), "score": exact.ravel()}))
+                    near = part_q @ x.T
+                    # every row that ties with the m-th, to rounding
+                    row, col = np.nonzero(near >= -np.partition(-near, m - 1, 1)[:, m - 1:m] - slack)
+                    exact = (part_q[row] * x[col]).sum(1)
+                    out.append(pd.DataFrame({"q": ask["cid"].to_numpy()[lo:lo + 256][row], "cid": ids[col], "score": exact}))
             return pd.concat(out)
 
         def scored(indexed: DataFrame, asked: DataFrame) -> DataFrame:
@@ -202,14 +211,43 @@ def nearest(spark: SparkSession, table: DataFrame, is_query, id_col: str = "vec_
             top = met.groupBy("q", "cid").agg(F.max("score").alias("score"))
             return top.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("q", "cid", "score")
 
-        best = Window.partitionBy("q").orderBy(F.desc("score"), "cid")
+        one = [F.lit(0).alias("band"), F.lit(-1).alias("tab"), F.lit(0).cast("long").alias("bucket"), "cid", "raw"]
+        # the probes that a sample of the queries needs
+        tried = queries.select("cid").distinct().orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).join(classes.select("cid", "raw"), "cid")
+        tried = scratch.put(tried, "sample")
+        true = scored(classes.select(*one), tried.select(*one)).where("q <> cid").join(classes.select("cid", "raw"), "cid").select("q", "raw").collect()
+        asked_raw = {r["cid"]: r["raw"] for r in tried.collect()}  # SAMPLE vectors, and k + 1 found for each
+        order = {q: i for i, q in enumerate(asked_raw)}
+        probe = probes_needed(_unit(list(asked_raw.values())), _unit([r["raw"] for r in true]), np.array([order[r["q"]] for r in true]), tables, second, recall) if true else 1
+
+        def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    x = _unit(list(pdf["raw"]))
+                    for t in range(tables):
+                        yield pd.DataFrame({"band": pdf["band"], "tab": t, "bucket": buckets(x, t, second), "cid": pdf["cid"], "raw": pdf["raw"]})
+
+        def probing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    x = _unit(list(pdf["raw"]))
+                    for t in range(tables):
+                        p = np.concatenate([probes(x[lo:lo + 256], t, second, probe) for lo in range(0, len(x), 256)])
+                        at = np.repeat(np.arange(len(pdf)), p.shape[1])
+                        for r in bands:
+                            yield pd.DataFrame({"band": r, "tab": t, "bucket": p.ravel(), "cid": pdf["cid"].to_numpy()[at], "raw": pdf["raw"].to_numpy()[at]})
+
+        hashed = "band int, tab int, bucket long, cid long, raw binary"
+        indexed = scratch.put(classes.select("cid", "raw", "band").mapInPandas(index, hashed), "index")
+        asked = queries.select("cid").distinct().join(classes.select("cid", "raw"), "cid").mapInPandas(probing, hashed)
+        # a bucket's rows and the queries that probe it are both cut into blocks
+        asked = scratch.put(asked, "probes")
         top = scratch.put(scored(indexed, asked), "top")
         # queries that met too few are compared with all
         few = min(k + 1, n)
         enough = top.groupBy("q").count().where(F.col("count") >= few).select(F.col("q").alias("cid"))
         short = scratch.put(queries.select("cid").distinct().join(enough, "cid", "left_anti").join(classes.select("cid", "raw"), "cid"), "short")
         if short.limit(1).count():
-            one = [F.lit(0).alias("band"), F.lit(-1).alias("tab"), F.lit(0).cast("long").alias("bucket"), "cid", "raw"]
             whole = scored(classes.select(*one), short.select(*one))
             top = scratch.put(top.join(short.select(F.col("cid").alias("q")), "q", "left_anti").unionByName(whole), "top-all")
         # the ids behind the nearest vectors; one more than asked for, as a query meets itself

@@ -13,7 +13,8 @@ root and ridge weights is one (DIM x languages) matrix, so a batch of texts
 is scored by the product of its presence rows with that matrix.
 
 Bounds: PER_LANG labelled texts for each language, the first by a hash of
-their id, LANDMARKS of them landmarks; prediction reads every whole text.
+their id, of at most MAX_LANGS languages, LANDMARKS of them landmarks; prediction
+reads every whole text. A letter is a character of a Unicode letter category.
 
 Defined cases: null text or one without a letter is ``und`` with score 0; with
 no labelled text at all everything is ``und``; ties go to the language first
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
-from carestat.llm.common import keep_ids
+from carestat.llm.common import fresh, keep_ids
 
 ORDERS = (1, 2, 3, 4)
 DIM = 1 << 18
@@ -38,6 +39,7 @@ LANDMARKS = 256
 MAX_LANGS = 500
 RIDGE = 1e-3
 _OTHER = re.compile(r"[\W\d_]+")
+_BATCH_SLOTS = 1 << 18  # slots of one matrix product, and those of one text
 _PIECE = 1 << 20  # characters whose n-grams are formed at a time
 
 
@@ -90,6 +92,14 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: f
     return names, weights
 
 
+def product(sets: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """The presence rows of a batch, each over the root of its size, times the weights: a sparse matrix product,
+    whose rows are sums of the weights' rows."""
+    size = np.array([len(s) for s in sets])
+    starts = np.r_[0, np.cumsum(size)[:-1]]
+    return np.add.reduceat(weights[np.concatenate(sets)], starts, axis=0) / np.sqrt(size)[:, None]
+
+
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, may_learn, per_lang: int) -> DataFrame:
     """(lang, text) of up to ``per_lang`` documents of each language, first by a hash of the id."""
     order = F.xxhash64("doc"), F.col("doc")
@@ -108,7 +118,6 @@ def predict(spark: SparkSession, docs: DataFrame, model, text_col: str = "text",
     names, weights = model
     shared = spark.sparkContext.broadcast((names, weights.astype(np.float32)))
     rest = [f for f in docs.schema.fields if f.name != text_col]
-    letter = re.compile(r"[^\W\d_]")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, weights = shared.value
@@ -116,11 +125,19 @@ def predict(spark: SparkSession, docs: DataFrame, model, text_col: str = "text",
         for b in batches:
             score = np.zeros((b.num_rows, max(1, len(names))))
             known = np.zeros(b.num_rows, bool)
+            held, rows, size = [], [], 0
             for i, text in enumerate(b.column(len(rest)).to_pylist()):
-                if names and text and letter.search(text):
-                    slots = presence(text, work)
-                    score[i, :len(names)] = weights[slots].sum(0) / np.sqrt(len(slots))
-                    known[i] = True
+                if names and text and any(map(str.isalpha, text)):
+                    held.append(presence(text, work))
+                    rows.append(i)
+                    size += len(held[-1])
+                    if size >= _BATCH_SLOTS:
+                        score[rows, :len(names)] = product(held, weights)
+                        known[rows] = True
+                        held, rows, size = [], [], 0
+            if held:
+                score[rows, :len(names)] = product(held, weights)
+                known[rows] = True
             best = score.argmax(1)
             lang = [names[j] if k else "und" for j, k in zip(best, known)]
             value = np.where(known, np.clip(score[np.arange(len(best)), best], 0, 1), 0.0)
@@ -153,6 +170,7 @@ def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
 def keep_identified(spark: SparkSession, docs: DataFrame, least_score: float = 0.2) -> DataFrame:
     """``docs`` without documents of no language (``und``) or of a score under ``least_score``."""
     model = train(docs, ~F.coalesce(held_out("doc_id"), F.lit(False)))
-    both = docs.select("*", F.col("text").alias("_body"))
-    known = predict(spark, both, model, "_body", ("_lang", "_lang_score"))
-    return known.where(f"_lang <> 'und' and _lang_score >= {least_score}").select(*docs.columns)
+    body, lang, score = fresh(docs, "_body", "_lang", "_lang_score")
+    both = docs.select("*", F.col("text").alias(body))
+    known = predict(spark, both, model, body, (lang, score))
+    return known.where(f"`{lang}` <> 'und' and `{score}` >= {least_score}").select(*[F.col(f"`{c}`") for c in docs.columns])

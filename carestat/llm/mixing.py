@@ -27,7 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from carestat.llm.common import Scratch, numbered
+from carestat.llm.common import Scratch, fresh, numbered
+from carestat.llm.sharding import numbered_copies
 from carestat.llm.words import SPACED, text_parts, word_spans
 
 GROUP = 8_192  # documents rounded together in one leaf of the tree
@@ -144,10 +145,12 @@ def mixed(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         # both sides are hashed on (source, salt), so a source with a third of the rows spreads out
         salts = 64
         spread = targets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        leaf = F.pmod(F.xxhash64("doc", "digest", F.lit(SEED)), F.ceil(F.col("n") / GROUP))
-        rows = (counts.withColumn("salt", F.pmod(F.xxhash64("doc", "digest"), F.lit(salts)).cast("int")).alias("c")
+        leaf = F.pmod(F.xxhash64("doc", "digest", "copy", F.lit(SEED)), F.ceil(F.col("n") / GROUP))
+        # equal rows are numbered, so that they are dealt to leaves like others
+        each = numbered_copies(counts).select("record.*", "copy")
+        rows = (each.withColumn("salt", F.pmod(F.xxhash64("doc", "digest", "copy"), F.lit(salts)).cast("int")).alias("c")
                 .join(spread.alias("t"), F.expr("c.source <=> t.source and c.salt = t.salt"))
-                .select("c.doc", "c.digest", "c.source", "t.source_size", "t.target", "c.size", "t.n")
+                .select("c.doc", "c.digest", "c.copy", "c.source", "t.source_size", "t.target", "c.size", "t.n")
                 .withColumn("copies", copies).withColumn("base", F.floor("copies").cast("long"))
                 .select("doc", "digest", "source", "source_size", "target", "size", "base",
                         ((F.col("copies") - F.col("base")) * F.col("size")).alias("mass"), leaf.cast("long").alias("node")))
@@ -175,10 +178,11 @@ def repeat_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                 source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it (not at all included)."""
     plan = mixed(spark, docs, id_col, text_col, source_col)
-    plan = plan.groupBy("doc", "digest").agg(F.sum("copies").cast("int").alias("_copies")).where("_copies > 0")
-    plan = plan.select(F.col("doc").alias("_plan_doc"), F.col("digest").alias("_plan_digest"), "_copies")
-    keyed = docs.withColumn("_digest", row_digest(docs)).withColumn("_doc", F.col(id_col).cast("long"))
-    keyed = keyed.dropDuplicates(["_doc", "_digest"])
-    return (keyed.join(plan, F.col("_doc").eqNullSafe(F.col("_plan_doc")) & (F.col("_digest") == F.col("_plan_digest")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    doc, digest, copies, copy, plan_doc, plan_digest = fresh(docs, "_doc", "_digest", "_copies", "_copy", "_plan_doc", "_plan_digest")
+    plan = plan.groupBy("doc", "digest").agg(F.sum("copies").cast("int").alias(copies)).where(f"`{copies}` > 0")
+    plan = plan.select(F.col("doc").alias(plan_doc), F.col("digest").alias(plan_digest), copies)
+    keyed = docs.withColumn(digest, row_digest(docs)).withColumn(doc, F.col(id_col).cast("long"))
+    keyed = keyed.dropDuplicates([doc, digest])
+    return (keyed.join(plan, F.col(doc).eqNullSafe(F.col(plan_doc)) & (F.col(digest) == F.col(plan_digest)))
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
             .select(*[keyed[c] for c in docs.columns]))

@@ -515,7 +515,7 @@ def test_nearest_recall(spark, target):
              (10_100, [float("nan")] * 64), (10_120, [1.0, 2.0]), (None, rows[1][1])]
     got = {}
     both = spark.createDataFrame(rows + extra, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")).withColumn("score", F.lit(1))
-    for r in ann.nearest(spark, both, lambda i: i % 20 == 0, target=target, probe=ann.PROBES if target > 8 else 256).collect():
+    for r in ann.nearest(spark, both, lambda i: i % 20 == 0, target=target).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     ids = np.array([i for i, _ in rows] + [10_001, 10_020])
     x = np.array([v for _, v in rows] + [rows[0][1]] * 2, np.float32).astype(float)
@@ -544,15 +544,37 @@ def test_probes_keep_recall_with_a_second_polytope(second):
     score[np.arange(len(at)), at] = -np.inf
     true = np.argsort(-score, 1)[:, :20]
     rows, asked = ann._unit(raw), ann._unit([raw[i] for i in at])
-    met = np.zeros(score.shape, bool)
+    met, shares = np.zeros(score.shape, bool), []
+    half = at[::2]  # fitted on half of the queries, measured on all
+    for n in (500, 2_000):
+        near = [np.argsort(-np.where(np.arange(len(x)) < n, score[i // 20], -np.inf))[:20] for i in half if i < n]
+        count = ann.probes_needed(asked[::2][:len(near)], rows[np.concatenate(near)], np.repeat(np.arange(len(near)), 20), ann.TABLES, second, ann.RECALL)
+        shares.append(count / (256 * max(1, 2 * second)))
+    assert shares[1] < shares[0]  # a larger table needs a smaller share
     for t in range(ann.TABLES):
-        own, probed = ann.buckets(rows, t, second), ann.probes(asked, t, second, ann.probe_count(ann.PROBES, second))
+        own, probed = ann.buckets(rows, t, second), ann.probes(asked, t, second, count)
         for i, p in enumerate(probed):
             met[i] |= np.isin(own, p)
     recall = np.take_along_axis(met, true, 1).mean()
     assert recall >= 0.9
 
 
+def test_equal_scores_go_to_the_smaller_id(spark):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 2, (400, 16)) * 1.0
+    x[:, 0] = 1.0
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.nearest(spark, rows, lambda i: i % 20 == 0, recall=1.0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    right = 0
+    for q in range(0, 400, 20):
+        s = x @ x[q]
+        want = [i for i in np.lexsort((np.arange(400), -s)).tolist() if i != q][:20]
+        right += [i for _, i, _ in sorted(got[q])] == want
+    assert right >= 18  # of 20: those that met every candidate
+
+
 @pytest.mark.parametrize("skew", ["outlier", "log-normal"])
 def test_recall_with_unequal_norms(spark, skew):
     rng = np.random.default_rng(6)
@@ -611,6 +633,11 @@ def test_language_held_out(spark, docs, edge, empty):
     odd = lang_id.identify(spark, edge).collect()
     assert len(odd) == edge.count() and {r.doc_id for r in odd if r.lang_pred == "und"} == {4, 5, 6, 9}
     assert lang_id.keep_identified(spark, edge, 0.0).columns == edge.columns
+    signs = spark.createDataFrame([(1, "\u00bd \u00b2 12"), (2, "\u2167 \u2160"), (3, "\u00bd the cat")], "doc_id long, text string")
+    model = lang_id.fit(["the cat", "der hund"], ["en", "de"])
+    assert [r.lang_pred == "und" for r in lang_id.predict(spark, signs, model).orderBy("doc_id").collect()] == [True, True, False]
+    taken = edge.withColumns({"_lang": F.lit(1), "_BODY": F.lit("x"), "_lang_score": F.lit(2.0)})
+    assert lang_id.keep_identified(spark, taken, 0.0).columns == taken.columns
     assert lang_id.identify(spark, empty).count() == 0
 
 
@@ -621,11 +648,58 @@ def test_kernel_weights_are_the_kernel_product():
     for t, lang in zip(texts, ["en", "de", "en", "de"]):
         s = lang_id.presence(t, work)
         score = weights[s].sum(0) / np.sqrt(len(s))
+        # the collapsed weights score as the explicit kernel values to the landmarks do
+        sets = [set(lang_id.presence(x, work).tolist()) for x in texts]
+        kernel = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+        own = np.array([len(set(s.tolist()) & b) / np.sqrt(len(s) * len(b)) for b in sets])
+        values, vectors = np.linalg.eigh(kernel)
+        root = vectors @ np.diag(1 / np.sqrt(values)) @ vectors.T
+        y = np.array([[float(a == n) for n in names] for a in ["en", "de", "en", "de"]])
+        ridge = np.linalg.solve((kernel @ root).T @ (kernel @ root) + 1e-6 * 4 * np.eye(4), (kernel @ root).T @ y)
+        assert score == pytest.approx(own @ root @ ridge, abs=1e-4)
+        assert lang_id.product([s, s[:3]], weights)[0] == pytest.approx(score)
         assert names[int(score.argmax())] == lang and score.max() > 0.9 and not work.any()
 
 
 # 10
 
+def test_license_labels_are_verified(spark):
+    texts = {
+        "Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc-4.0",
+        "This work is under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+        "Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa-4.0",
+        "the apache license is not the license version 2 0 january licensed under the apache": "",
+        "Licensed under the Apache License, Version 2.0": "apache-2.0",
+        "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.": "gpl,gpl-3.0",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
+        "copyright notice and this permission notice appear in all copies.": "isc",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.": "mit",
+        "licensed under the gnu affero general public license": "agpl,gpl",
+        "licensed under cc by nc 4.0 and more": "cc-by,cc-by-nc-4.0",
+        "Permission is hereby granted, entirely free of charge, to any person obtaining a copy of this software": "mit",
+    }
+    got = {r.doc_id: r for r in licenses.scan(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)).collect()}
+    assert {t: got[i].labels for i, t in enumerate(texts)} == texts
+    twice = licenses.scan(spark, spark.createDataFrame([(1, "x y. ".join(list(texts)[:3]))], "doc_id long, text string")).first()
+    assert twice.labels == "cc-by-4.0,cc-by-nc-4.0,cc-by-sa-4.0"
+    many = licenses.scan(spark, spark.createDataFrame([(1, "cc by " * 20_000), (2, "licensed under cc by 4 0 " * 4_000)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in many] == ["cc-by", "cc-by,cc-by-4.0"] and many[0].n_base == 20_000
+
+
+def test_ordered_words_are_the_heaviest_run():
+    rng = random.Random(8)
+    for _ in range(60):
+        hits = sorted({(rng.randrange(14), rng.randrange(9)) for _ in range(rng.randint(1, 8))})
+
+        def worth(run):
+            return 3 + sum(min(3, b[0] - a[0], b[1] - a[1]) for a, b in itertools.pairwise(run))
+        want = max(worth(run) for n in range(1, len(hits) + 1) for run in itertools.combinations(hits, n)
+                   if all(a[0] < b[0] and a[1] < b[1] for a, b in itertools.pairwise(run)))
+        assert licenses.ordered_words([h[0] for h in hits], [h[1] for h in hits])[0] == want
+
+
 def test_license_places(spark, docs, edge, empty):
     for table in (docs, edge):
         texts = {r.doc_id: r.text or "" for r in table.collect()}
