@@ -294,6 +294,19 @@ def test_mix_meets_targets_and_repeats(spark, docs):
         assert targets[s] == pytest.approx(want[s]) and abs(taken[s] - want[s]) <= largest[s]
 
 
+def test_mix_of_equal_rows_and_taken_names(spark):
+    """A row repeated thousands of times is dealt to many leaves, and helper names may be columns of the table."""
+    rows = [(1, "one two three four", "a")] * 20_000 + [(2, "five six", "b"), (3, "x " * 9_000, "c")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"_doc": F.lit(7), "_digest": F.lit("x"), "_copies": F.lit(9)})
+    got = mixing.mixed(spark, table).collect()
+    assert len(got) == len(rows)
+    for source in "abc":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.copies * r.size for r in own) - own[0].target) <= max(r.size for r in own)
+    again = mixing.repeat_rows(spark, table)
+    assert again.columns == table.columns and again.count() == sum(r.copies for r in got)
+
+
 def test_pivot_keeps_expectations():
     rng = np.random.default_rng(5)
     size = np.array([5.0, 40.0, 7.0, 100.0, 3.0])
