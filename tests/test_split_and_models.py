@@ -162,6 +162,29 @@ def test_permutation_importance_finds_signal(spark):
     assert imp["signal"] > 0.2 and abs(imp["noise"]) < 0.05
 
 
+def test_changed_rows_alone_are_scored_anew(spark):
+    import numpy as np
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from carestat.operators import explain as X
+    rng = np.random.default_rng(5)
+    rows = [(int(a + b > 0), [float(a), float(b), 1.0]) for a, b in rng.normal(size=(400, 2)).round(1)]
+    df = spark.createDataFrame([(y, x, x[1:2] + x[:1] + x[2:], [j for j in (0, 1) if x[0] != x[1]]) for y, x in rows],
+                               "label int, x array<double>, px array<double>, changed array<int>")
+    model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=1).fit(df.select("label", array_to_vector("x").alias("features")))
+    score = lambda vectors: [r.p for r in model.transform(spark.createDataFrame([(v,) for v in vectors], "x array<double>").select(
+        array_to_vector("x").alias("features"))).select(vector_to_array("probability")[1].alias("p")).collect()]
+    want = []
+    for j in (0, 1):
+        swapped = [x[:j] + [x[1 - j]] + x[j + 1:] for _, x in rows]
+        want += [(j, y, a, b) for (y, x), a, b in zip(rows, score([x for _, x in rows]), score(swapped)) if x[0] != x[1]]
+    assert sorted(map(tuple, X.changed_scores(model, df).collect())) == sorted(want)
+    # counts less the old and plus the new scores are the counts of all rows with the feature swapped
+    base = spark.createDataFrame([(0, 0.25, 3, 1), (0, 0.5, 2, 1), (0, 0.25, -1, 0), (0, 0.75, 1, 0)], "g int, s double, n long, pos long")
+    plain = spark.createDataFrame([(0, 0.25, 2, 1), (0, 0.5, 2, 1), (0, 0.75, 1, 0)], "g int, s double, n long, pos long")
+    assert X._auc_by_group(base, "g").first()["auc"] == X._auc_by_group(plain, "g").first()["auc"]
+
+
 def test_score_patients_from_partial_inputs(spark):
     from carestat.operators import prepare as M
     from carestat.operators.score import score_patients
