@@ -185,6 +185,19 @@ def test_changed_rows_alone_are_scored_anew(spark):
     assert X._auc_by_group(base, "g").first()["auc"] == X._auc_by_group(plain, "g").first()["auc"]
 
 
+def test_encounters_are_derived_once_for_split_and_preparation(spark, monkeypatch):
+    from carestat.plans import catalog as C
+    from carestat.plans import tables
+    monkeypatch.setattr(tables, "_VIEWS", {})
+    sf = "/root/testdata/sf0.001"
+    split = C.split_view(spark, sf)
+    assert split.inputFiles() and not any("lineitem" in f for f in split.inputFiles())
+    plan = split.select("encounter_id", "split")._jdf.queryExecution().executedPlan().toString()
+    assert "num_medications" not in plan  # a key and a label are read
+    assert C.m10_feature_names(spark, sf).count() > 0
+    assert not any(k[0] == "matrix" for k in tables._VIEWS)
+
+
 def test_score_patients_from_partial_inputs(spark):
     from carestat.operators import prepare as M
     from carestat.operators.score import score_patients
