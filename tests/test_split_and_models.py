@@ -185,7 +185,7 @@ def test_changed_rows_alone_are_scored_anew(spark):
     assert X._auc_by_group(base, "g").first()["auc"] == X._auc_by_group(plain, "g").first()["auc"]
 
 
-def test_encounters_are_derived_once_for_split_and_preparation(spark, monkeypatch):
+def test_encounters_are_derived_once_for_split_preparation_and_lines(spark, monkeypatch):
     from carestat.plans import catalog as C
     from carestat.plans import tables
     monkeypatch.setattr(tables, "_VIEWS", {})
@@ -196,6 +196,11 @@ def test_encounters_are_derived_once_for_split_and_preparation(spark, monkeypatc
     assert "num_medications" not in plan  # a key and a label are read
     assert C.m10_feature_names(spark, sf).count() > 0
     assert not any(k[0] == "matrix" for k in tables._VIEWS)
+    lines, names = C.encounter_lines(spark, sf)
+    found = [r.value for r in spark.read.text(lines).collect()]
+    ids = [r.encounter_id for r in tables.raw(spark, sf).select("encounter_id").collect()]
+    assert len(found) == len(ids) + sum(i % 7 == 0 for i in ids)
+    assert sum(v.count(",") == 2 for v in found) == sum(i % 7 == 0 for i in ids)
 
 
 def test_score_patients_from_partial_inputs(spark):
