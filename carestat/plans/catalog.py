@@ -399,19 +399,29 @@ def split_view(spark, sf_dir) -> DataFrame:
     return tables._memo("split", spark, sf_dir, build)
 
 
+def split_keys(spark, sf_dir) -> DataFrame:
+    """Key, label and split of every encounter, as in ``split_view``: the split hangs on these two columns alone, so
+    only they are derived and kept (the optimizer leaves out line items, which add no rows, and features)."""
+    def build():
+        path = scratch_path(spark, f"labels-{uuid.uuid4().hex}")
+        SK.write_table(tables.featured(spark, sf_dir).select("encounter_id", M.TARGET), path)
+        return M.stratified_split(spark.read.parquet(path))
+    return tables._memo("split_keys", spark, sf_dir, build)
+
+
 @query("m3_stratified_split")
 def m3_stratified_split(spark, sf_dir):
-    return split_view(spark, sf_dir).select("encounter_id", "readmitted_30d", "split")
+    return split_keys(spark, sf_dir).select("encounter_id", "readmitted_30d", "split")
 
 
 @query("p17_class_counts")
 def p17_class_counts(spark, sf_dir):
-    return P.class_counts(split_view(spark, sf_dir))
+    return P.class_counts(split_keys(spark, sf_dir))
 
 
 @query("t1_class_weights")
 def t1_class_weights(spark, sf_dir):
-    train = split_view(spark, sf_dir).filter(F.col("split") == "train")
+    train = split_keys(spark, sf_dir).filter(F.col("split") == "train")
     return T.class_weights(train.withColumnRenamed("readmitted_30d", "label"))
 
 

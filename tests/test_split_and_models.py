@@ -203,6 +203,21 @@ def test_encounters_are_derived_once_for_split_preparation_and_lines(spark, monk
     assert sum(v.count(",") == 2 for v in found) == sum(i % 7 == 0 for i in ids)
 
 
+def test_split_query_derives_a_key_and_a_label_only(spark, monkeypatch):
+    from carestat.plans import catalog as C
+    from carestat.plans import tables
+    monkeypatch.setattr(tables, "_VIEWS", {})
+    sf = "/root/testdata/sf0.001"
+    found = C.m3_stratified_split(spark, sf)
+    written = [f.rpartition("/")[0] for f in found.inputFiles()]
+    assert written and spark.read.parquet(written[0]).columns == ["encounter_id", "readmitted_30d"]
+    assert not any(k[0] == "split" for k in tables._VIEWS)
+    wide = C.split_view(spark, sf).select(found.columns)
+    assert sorted(found.collect()) == sorted(wide.collect())
+    C.p17_class_counts(spark, sf)
+    C.t1_class_weights(spark, sf)
+
+
 def test_score_patients_from_partial_inputs(spark):
     from carestat.operators import prepare as M
     from carestat.operators.score import score_patients
