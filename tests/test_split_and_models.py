@@ -212,7 +212,9 @@ def test_split_query_derives_a_key_and_a_label_only(spark, monkeypatch):
     written = [f.rpartition("/")[0] for f in found.inputFiles()]
     assert written and spark.read.parquet(written[0]).columns == ["encounter_id", "readmitted_30d"]
     assert not any(k[0] == "split" for k in tables._VIEWS)
-    wide = C.split_view(spark, sf).select(found.columns)
+    wide = C.split_view(spark, sf)
+    assert {"insulin_used", "diag_1", "med_changes_count"} <= set(wide.columns) and "insulin_dosage" not in wide.columns
+    wide = wide.select(found.columns)
     assert sorted(found.collect()) == sorted(wide.collect())
     C.p17_class_counts(spark, sf)
     C.t1_class_weights(spark, sf)
