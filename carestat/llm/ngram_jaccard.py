@@ -43,6 +43,7 @@ from carestat.llm.words import SPACED, documents_words, mix, shingles, signed
 
 _U = np.uint64
 INDEX_KEYS = 400_000  # keys that a task holds at a time, and those of one set
+KEY_BITS = 48  # of an index key: keys that agree by chance cost a comparison, never a link
 SHARED = 0.05  # assumed share of a set's elements that an unrelated set of its band also has
 
 
@@ -122,7 +123,7 @@ def index_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
     """(sig, doc, others): documents by key. Within an Arrow batch, INDEX_KEYS keys at a time, the
     documents of a key are already one row, its smallest id with the others beside it."""
     def rows(sigs: list, docs_: list) -> pa.RecordBatch:
-        sig = np.concatenate(sigs)
+        sig = np.concatenate(sigs) & _U((1 << KEY_BITS) - 1)
         doc = np.repeat(np.array(docs_, np.int64), [len(g) for g in sigs])
         order = np.lexsort((doc, sig))
         sig, doc = sig[order], doc[order]
@@ -131,7 +132,8 @@ def index_rows(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int
         counts = np.diff(np.r_[at, len(sig)]) - 1
         offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.int32(), mask=np.r_[counts == 0, False])
         others = pa.ListArray.from_arrays(offsets, pa.array(doc[~head]))
-        return pa.RecordBatch.from_arrays([pa.array(signed(sig[at])), pa.array(doc[at]), others], names=["sig", "doc", "others"])
+        out = pa.RecordBatch.from_arrays([pa.array(signed(sig[at])), pa.array(doc[at]), others], names=["sig", "doc", "others"])
+        return out.take(pa.array(np.lexsort((sig[at], doc[at]))))  # neighbours of a document: compresses
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -89,6 +89,17 @@ def test_linked_sets_share_a_signature():
             assert set(nj.signatures(np.unique(a), band, *plan)) & set(nj.signatures(np.unique(b), band, *plan))
 
 
+def test_index_rows_lie_by_document(spark):
+    """Keys have KEY_BITS bits and follow their documents, so that they compress when they are shuffled."""
+    words = [f"w{i}" for i in range(300)]
+    table = spark.createDataFrame([(i, " ".join(words[i:i + 200])) for i in (3, 1, 2)], "doc_id long, text string").coalesce(1)
+    edges = nj.band_edges(80, 300)
+    plan = {i: nj.allocate(80, edges[i], edges[i + 1] - 1, 3) for i in range(len(edges) - 1)}
+    rows = nj.index_rows(table, "doc_id", "text", 5, 80, plan, edges).collect()
+    assert {r.doc for r in rows} == {1, 2, 3} and all(0 <= r.sig < 1 << 48 for r in rows)
+    assert [(r.doc, r.sig) for r in rows] == sorted((r.doc, r.sig) for r in rows)
+
+
 def test_components_match_brute_force(spark, docs, edge):
     for table, k, percent in ((docs, 4, 85), (edge, 5, 80)):
         rows = [(r.doc_id, r.text) for r in table.collect()]
