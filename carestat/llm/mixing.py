@@ -178,11 +178,12 @@ def repeat_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                 source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it (not at all included)."""
     plan = mixed(spark, docs, id_col, text_col, source_col)
-    doc, digest, copies, copy, plan_doc, plan_digest = fresh(docs, "_doc", "_digest", "_copies", "_copy", "_plan_doc", "_plan_digest")
-    plan = plan.groupBy("doc", "digest").agg(F.sum("copies").cast("int").alias(copies)).where(f"`{copies}` > 0")
-    plan = plan.select(F.col("doc").alias(plan_doc), F.col("digest").alias(plan_digest), copies)
-    keyed = docs.withColumn(digest, row_digest(docs)).withColumn(doc, F.col(id_col).cast("long"))
-    keyed = keyed.dropDuplicates([doc, digest])
-    return (keyed.join(plan, F.col(doc).eqNullSafe(F.col(plan_doc)) & (F.col(digest) == F.col(plan_digest)))
+    doc, none, digest, copies, copy = fresh(docs, "_doc", "_none", "_digest", "_copies", "_copy")
+    # both sides are grouped by the columns that they are joined by (a null id is its own key), so texts are shuffled once
+    key = {doc: lambda c: F.coalesce(c, F.lit(0).cast("long")), none: lambda c: c.isNull()}
+    plan = (plan.select(*[made(F.col("doc")).alias(k) for k, made in key.items()], F.col("digest").alias(digest), F.col("copies").alias(copies))
+            .groupBy(doc, none, digest).agg(F.sum(copies).cast("int").alias(copies)).where(f"`{copies}` > 0"))
+    keyed = docs.withColumn(digest, row_digest(docs)).withColumns({k: made(F.col(id_col).cast("long")) for k, made in key.items()})
+    return (keyed.dropDuplicates([doc, none, digest]).join(plan, [doc, none, digest])
             .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
-            .select(*[keyed[c] for c in docs.columns]))
+            .select(*docs.columns))

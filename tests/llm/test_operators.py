@@ -318,6 +318,21 @@ def test_mix_of_equal_rows_and_taken_names(spark):
     assert again.columns == table.columns and again.count() == sum(r.copies for r in got)
 
 
+def test_mix_shuffles_texts_once(spark):
+    """Rows are joined with the mix by the columns they were grouped by; a null id and 0 stay apart."""
+    rows = [(None, "one two three", "a"), (0, "one two three", "a"), (0, "one two three", "a"), (4, "five six", "a"), (5, None, "a")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mixing.repeat_rows(spark, table)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # the texts, the mix
+    # one source: its target is its size, so every row is taken once
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(rows, key=str)
+
+
 def test_pivot_keeps_expectations():
     rng = np.random.default_rng(5)
     size = np.array([5.0, 40.0, 7.0, 100.0, 3.0])
