@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-CACHE_PIECES = 200_000  # encoded pieces kept by a Python worker, and twice as many judged pairs
+CACHE_PIECES = 100_000  # encoded pieces kept by a task, and twice as many judged pairs
 SUB_CHARS = 1 << 18  # characters split together; a longer text is split alone
 SUB_BYTES = 2 << 20  # bytes of text taken out of an Arrow batch together; a longer text is taken alone
 _models: dict[str, "Ranks"] = {}
@@ -141,6 +141,11 @@ class Ranks:
             at -= len(self.token[out[-1]])
         return out[::-1]
 
+    def forget(self) -> None:
+        """Drop what was kept of texts; a Python worker outlives its task."""
+        for kept in (self.pieces, self.pairs, self.rims):
+            kept.clear()
+
     def encode_piece(self, data: bytes) -> list[int]:
         whole = self.rank.get(data)
         return [whole] if whole is not None else self.read_back(self.extend(data, []))
@@ -338,10 +343,13 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = model(path)
-        for b in batches:
-            for at, part in slices(pc.fill_null(b.column(1), "")):
-                yield coded(ranks, b.column(0).slice(at, len(part)), part)
-            pa.default_memory_pool().release_unused()  # two workers share an executor with the JVM
+        try:
+            for b in batches:
+                for at, part in slices(pc.fill_null(b.column(1), "")):
+                    yield coded(ranks, b.column(0).slice(at, len(part)), part)
+                pa.default_memory_pool().release_unused()  # two workers share an executor with the JVM
+        finally:
+            ranks.forget()
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     kind = docs.select(F.col(id_col)).dtypes[0][1]
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

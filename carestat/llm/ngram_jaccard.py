@@ -43,6 +43,7 @@ from carestat.llm.words import SPACED, documents_words, mix, shingles, signed
 
 _U = np.uint64
 INDEX_KEYS = 400_000  # keys that a task holds at a time, and those of one set
+PAIR_ROWS = 1_000  # pairs whose texts are taken out of an Arrow batch together
 KEY_BITS = 48  # of an index key: keys that agree by chance cost a comparison, never a link
 SHARED = 0.05  # assumed share of a set's elements that an unrelated set of its band also has
 
@@ -170,6 +171,13 @@ def _paired_sets(b: pa.RecordBatch, k: int, state: dict) -> Iterator[tuple[int,
         yield i, shingles(w, k), state["set"]
 
 
+def _few_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of PAIR_ROWS rows."""
+    for b in batches:
+        for lo in range(0, b.num_rows, PAIR_ROWS):
+            yield b.slice(lo, PAIR_ROWS)
+
+
 def _with_texts(pairs: DataFrame, texts: DataFrame, a: str, b: str) -> DataFrame:
     ta = texts.select(F.col("doc").alias(a), F.col("text").alias("ta"))
     tb = texts.select(F.col("doc").alias(b), F.col("text").alias("tb"))
@@ -180,7 +188,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(a, b, both, na, nb): exact sizes of the sets of each pair and of their intersection."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        for b in batches:
+        for b in _few_pairs(batches):
             size = np.zeros((3, b.num_rows), np.int64)
             for i, x, y in _paired_sets(b, k, state):
                 size[:, i] = len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)
@@ -192,7 +200,7 @@ def own_elements(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """(class, rep_class, e): elements of each class's set that the set of rep_class has not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
-        for b in batches:
+        for b in _few_pairs(batches):
             found = [np.setdiff1d(x, y, assume_unique=True) for _, x, y in _paired_sets(b, k, state)]
             at = np.repeat(np.arange(b.num_rows), [len(f) for f in found])
             e = np.concatenate(found) if found else np.zeros(0, _U)

@@ -5,6 +5,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from carestat.llm import ann, bottom_k, bpe, html_text, lang_id, licenses, mixing, ngram_jaccard as nj, passages, quality
 from carestat.llm import words as W
+from carestat.llm.common import SHUFFLE_CLEANUP, Scratch
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc string, score double, row int, n int"
@@ -769,3 +771,44 @@ def test_pipeline_stages(spark, edge):
         assert stage(spark, docs, SMALL).columns == docs.columns
     out = corpus_pipeline.run(spark, SMALL)
     assert "ids_sha256" in out.columns and out.count() > 0
+
+
+# ------------------------------------------------- disk and memory -------
+def test_scratch_removes_its_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+    setting = spark.conf.get(SHUFFLE_CLEANUP)
+    with Scratch(spark, "test") as scratch:
+        before = shuffled()
+        put = scratch.put(spark.range(5_000).withColumn("k", F.col("id") % 97).repartition(3, "k").groupBy("k").count(), "sums")
+        end = time.time() + 10
+        while shuffled() - before and time.time() < end:  # Spark removes them in the background
+            time.sleep(0.1)
+        assert not shuffled() - before
+        assert put.agg(F.sum("count")).first()[0] == 5_000
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
+def test_bpe_worker_keeps_no_pieces_after_its_task(spark):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    docs = spark.range(64).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("unbeknownst"), F.hex(F.col("id") * 7919), F.lit("perspicuously")).alias("text"))
+    assert bpe.round_trip(docs.repartition(8), path).where("n_tokens > 0").count() == 64
+
+    def held(batches):
+        for b in batches:
+            known = bpe._models.get(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(known.pieces) + len(known.pairs) + len(known.rims) if known else 0])], names=["n"])
+    assert spark.range(64).repartition(8).mapInArrow(held, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_pairs_are_verified_a_few_at_a_time(monkeypatch):
+    monkeypatch.setattr(nj, "PAIR_ROWS", 4)
+    n = 11
+    texts = [f"a b c d e w{i // 3} x{i}" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([100 + i // 3 for i in range(n)]), pa.array(texts), pa.array([f"a b c d e w{i // 3}" for i in range(n)])],
+                                       names=["a", "b", "ta", "tb"])
+    parts = list(nj._few_pairs(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [4, 4, 3]
+    state, whole = {}, [(x.tolist(), y.tolist()) for _, x, y in nj._paired_sets(batch, 3, {})]
+    assert [(x.tolist(), y.tolist()) for p in parts for _, x, y in nj._paired_sets(p, 3, state)] == whole
