@@ -279,6 +279,77 @@ def test_passage_of_frequent_lines_is_found(spark):
     assert want <= got
 
 
+def _held_between(rng, copies):
+    """Documents whose pieces of edited passages occur ``copies`` times before and after the one that has them whole; the pairs due."""
+    rows, want = [], set()
+
+    def add(words):
+        rows.append((len(rows), " ".join(words)))
+        return len(rows) - 1
+    for _ in range(6):
+        passage = _words(rng, 60)
+        edited = [*passage[:20], *_words(rng, 1), *passage[21:40], *_words(rng, 1), *passage[41:]]
+        pieces = lambda: [w for lo in range(0, 50, 10) for w in _words(rng, 70) + passage[lo:lo + 20]] + _words(rng, 70)
+        for _ in range(copies):
+            add(pieces())
+        a = add(_words(rng, 40) + passage + _words(rng, 40))
+        for _ in range(copies):
+            add(pieces())
+        want.add((add(_words(rng, 40) + edited + _words(rng, 40)), a))
+    return rows, want
+
+
+@pytest.mark.parametrize("copies", [2, 40])
+def test_passage_is_met_that_neither_the_first_nor_the_last_has(spark, copies):
+    rows, want = _held_between(random.Random(copies), copies)
+    got = {(r.doc_id, r.source_doc_id): r for r in passages.repeated_passages(
+        spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert want == got.keys()
+    assert all(r.word_start == 40 and r.n_words == 60 and r.similarity == 58 / 60 for r in got.values())
+
+
+def test_words_around_a_seed_leave_no_passage_out(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = _held_between(rng, 4)[0]
+    texts = [w.split() for _, w in rows]
+    for words in texts[::2]:  # a line that they have in common
+        words[5:5] = "of this and that the very same line".split()
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(3)
+
+    def rows_with(light, group):
+        monkeypatch.setattr(passages, "LIGHT", light)
+        monkeypatch.setattr(passages, "GROUP", group)
+        return sorted(map(tuple, passages.repeated_passages(spark, docs).collect()))
+    assert rows_with(10**6, 16) == rows_with(0, 16)
+
+
+@pytest.mark.parametrize("tail", [False, True])
+def test_occurrences_that_may_reach_a_passage(tail):
+    rng, n, m, k = np.random.default_rng(4), 60, passages.MARGIN, passages.K
+    words = rng.integers(1, 2000, (n, 2 * m + k)).astype("<u2")
+    for i in range(1, n, 2):
+        lo = int(rng.integers(m - 46, m + 1))
+        like = np.where(rng.random(50) < 0.85, words[i - 1, lo:lo + 50], words[i, lo:lo + 50])
+        words[i, lo:lo + 50] = like
+    words[:, m:m + k] = 7
+    doc, is_open, alone, place = np.arange(n) // 2, rng.random(n) < 0.7, rng.random(n) < 0.5, np.arange(n) + m
+    doc[::2] += 40
+    doc[1::2] += 90 * (rng.random(n // 2) < 0.8)
+    words[3, :10] = words[4, -10:] = 0
+    around = [w[w > 0].tobytes() for w in words]
+    place[3] = m - 10
+    none = np.zeros(n, np.int32)
+    table = pa.table({"doc": doc, "place": place, "open": is_open, "alone": alone, "tail": np.full(n, tail), "side": none, "i": none, "j": none, "around": pa.array(around)})
+    got = {(r["b"], r["a"], r["m"] >> 32, r["m"] & 0xFFFFFFFF) for r in passages.alike_near(table).to_pylist()}
+    want, w = set(), words.astype(int)
+    for y, x in itertools.product(range(n), repeat=2):
+        a = np.where(w[x] == 0, -1, w[x])[None]
+        sides = [passages.may_align(p, q) for p, q in ((a[:, m - 1::-1], w[y][None, m - 1::-1]), (a[:, m + k:], w[y][None, m + k:]))]
+        if is_open[y] and doc[x] < doc[y] and not (tail and alone[x] and alone[y]) and passages.can_reach(*sides, np.array([k]), passages.SIMILARITY)[0]:
+            want.add((doc[y], doc[x], place[y], place[x]))
+    assert got == want and len(want) > 3
+
+
 # 1
 
 def test_mix_meets_targets_and_repeats(spark, docs):
